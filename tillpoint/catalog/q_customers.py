@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
+from tillpoint.catalog.common import exact_means, round_cols
 from tillpoint.catalog.fixture_sql import AS_OF as SQL_AS_OF, with_inputs
 from tillpoint.catalog.registry import register
 from tillpoint.operators import customers as C
@@ -15,21 +13,6 @@ CUSTOMER_COLS = ("customer_id, first_name, last_name, email, phone, registration
                  "last_activity, updated_at, nation_key, account_balance, market_segment")
 
 
-def round_cols(df: DataFrame, cols, digits: int = 6) -> DataFrame:
-    """Round aggregated doubles so engines that sum in another order agree."""
-    return df.withColumns({c: F.round(c, digits) for c in cols})
-
-
-def exact_means(df: DataFrame, pairs: dict[str, str], digits: int = 6) -> DataFrame:
-    """Re-express means of short decimals as round(mean * n) / n.
-
-    Money columns carry at most five decimals, so the rounded total is exact
-    in any engine and the division then gives bit-identical doubles (a plain
-    rounded mean would hit decimal ties such as ...2175 at the 7th digit).
-    """
-    return df.withColumns({m: F.round(F.col(m) * F.col(n), digits) / F.col(n) for m, n in pairs.items()})
-
-
 # --------------------------------------------------------------------------- CLV
 @register("clv", with_inputs(["f_customers", "f_orders"], """
 select c.*, s.total_spend, s.order_count, s.avg_order_value, s.customer_tenure_days,
