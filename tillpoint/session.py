@@ -51,13 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     registered, so that later calls and ``DataFrame.checkpoint`` agree.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = jdir.get() if jdir.isDefined() else None
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not d and jdir.isDefined():
+        d = jdir.get()
     if not d:
         d = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not jdir.isDefined():
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
