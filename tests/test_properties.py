@@ -286,3 +286,19 @@ def test_grouped_pandas_udf_over_window(spark):
 
 def test_row_type_smoke():
     assert Row(a=1).a == 1
+
+
+def test_sequence_within_groups_matches_window_on_skewed_groups(spark):
+    from tillpoint.operators.sequencing import sequence_within_groups
+
+    random.seed(5)
+    rows = [(0 if random.random() < 0.6 else random.randint(1, 30), i, random.randint(0, 50)) for i in range(3000)]
+    rows += [(None, 10_000 + i, i % 3) for i in range(40)]          # NULL key is a group too
+    df = spark.createDataFrame(rows, "k long, id long, t long")
+    w = Window.partitionBy("k").orderBy(F.col("t").desc(), "id")
+    expect = {r.id: (r.rn, r.prev) for r in df.select(
+        "id", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("prev")).collect()}
+    for parts in (1, 3, 16):
+        got = sequence_within_groups(df, ["k"], ["t", "id"], rn_col="rn", lags={"prev": "t"},
+                                     desc_cols=["t"], partitions=parts)
+        assert {r.id: (r.rn, r.prev) for r in got.collect()} == expect

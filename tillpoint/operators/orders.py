@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillpoint.operators.sequencing import sequence_within_groups
+
 
 def order_timelines(orders: DataFrame) -> DataFrame:
     """Processing hours (ship − order, second resolution) and SLA compliance.
@@ -17,14 +19,22 @@ def order_timelines(orders: DataFrame) -> DataFrame:
         F.coalesce(F.col("processing_time_hours") <= F.col("promised_sla_hours"), F.lit(False)))
 
 
-def order_sequences(orders: DataFrame) -> DataFrame:
+def order_sequences(orders: DataFrame, skew_safe: bool = True) -> DataFrame:
     """``order_sequence`` (1 = first order) and days since the previous order.
 
     Ordered by (order_date, order_id): same-day orders get a stable order.
+    The default plan splits customers with very many orders over several
+    tasks (``sequence_within_groups``); ``skew_safe=False`` gives the plain
+    one-window plan.
     """
+    if skew_safe:
+        seq = sequence_within_groups(orders, ["customer_id"], ["order_date", "order_id"],
+                                     rn_col="order_sequence", lags={"_prev_date": "order_date"})
+        return seq.withColumn("days_since_last_order",
+                              F.datediff(F.col("order_date"), F.col("_prev_date"))).drop("_prev_date")
     w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
     return orders.withColumns({
-        "order_sequence": F.row_number().over(w),
+        "order_sequence": F.row_number().over(w).cast("long"),
         "days_since_last_order": F.datediff(F.col("order_date"), F.lag("order_date", 1).over(w)),
     })
 
