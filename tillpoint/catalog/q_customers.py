@@ -6,6 +6,7 @@ from tillpoint.catalog.common import exact_means, round_cols
 from tillpoint.catalog.fixture_sql import AS_OF as SQL_AS_OF, with_inputs
 from tillpoint.catalog.registry import register
 from tillpoint.operators import customers as C
+from tillpoint.operators.setops import except_distinct
 from tillpoint.sources import fixtures as fx
 
 SALT = "tillpoint-salt"
@@ -134,3 +135,15 @@ from (select *, cast(date_diff('day', last_activity, {SQL_AS_OF}) as integer) as
 """))
 def q_activity_segments(spark, sf):
     return C.activity_segments(C.scalar_columns(fx.customers(spark, sf)), fx.AS_OF)
+
+
+@register("except_distinct", with_inputs(["f_customers_raw"], """
+select * from f_customers_raw
+except
+select * exclude (rn) from (
+  select *, row_number() over (partition by customer_id order by updated_at desc) as rn
+  from f_customers_raw) where rn = 1"""))
+def q_except_distinct(spark, sf):
+    """Superseded customer versions: all versions EXCEPT the latest ones."""
+    raw = C.scalar_columns(fx.customers_raw(spark, sf))
+    return except_distinct(raw, C.latest_per_key(raw, "customer_id", "updated_at"))

@@ -104,8 +104,11 @@ def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = N
     other = join_dfs[name]
     cond = t.get("condition")
     left, right = df.alias("l"), other.alias("r")
-    if how == "cross" and not cond:
-        return left.crossJoin(right)
+    if how == "cross" or not cond:
+        # every pair of rows: output grows with the product of both inputs
+        if not t.get("allow_cross", False):
+            raise ValueError("cross joins are refused unless the step sets allow_cross=True")
+        return left.crossJoin(right) if not cond else left.join(right, on=_expr(cond), how="cross")
     return left.join(right, on=_expr(cond), how=how)
 
 
