@@ -15,17 +15,21 @@ is estimated at once with the Hannan–Rissanen two-stage least squares method
 
 These estimates differ from exact maximum likelihood (they are its usual
 starting values).  Series with fewer than ``min_points`` points get NULL.
-All steps are windows partitioned by series plus one grouped aggregate, so
-the series are spread over the cluster and processed in one pass.
+Lagged values come from exact per-series positions (``sequence_within_groups``)
+regrouped on (series, position); the sums are grouped aggregates combined
+map-side.  No step holds a whole series in one task, so one very long series
+does not serialise the job.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.operators.sequencing import sequence_within_groups
+
 CLIP = 0.99
 
 
@@ -33,40 +37,58 @@ def _clip(c):
     return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), c))
 
 
+def _lagged(series: DataFrame, key: str, time_col: str, value_col: str, depth: int = 3) -> DataFrame:
+    """(key, t, y0 … y_depth): the value and its ``depth`` predecessors.
+
+    ``t`` is the exact position in the series (skew-safe numbering); every
+    row is sent to the ``depth + 1`` positions that need it and regrouped on
+    (key, t) — groups of at most depth + 1 rows, so one long series is spread
+    over many tasks instead of one window partition.
+    """
+    seq = sequence_within_groups(series.select(key, time_col, F.col(value_col).cast("double").alias("y")),
+                                 [key], [time_col], rn_col="t")
+    fan = seq.select(key, F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("j"), "t", "y") \
+        .select(key, (F.col("t") + F.col("j")).alias("t"), "j", "y")
+    n_per_key = seq.groupBy(key).agg(F.max("t").alias("_n"))
+    lagged = fan.groupBy(key, "t").agg(*[F.max(F.when(F.col("j") == i, F.col("y"))).alias(f"y{i}")
+                                         for i in range(depth + 1)])
+    # drop the positions past the end of each series (only lags landed there)
+    return lagged.join(n_per_key, key).filter(F.col("t") <= F.col("_n")).drop("_n")
+
+
 def arima111_params(series: DataFrame, key: str = "product_id", time_col: str = "date",
                     value_col: str = "sales", min_points: int = 8) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(time_col)
-    whole = Window.partitionBy(key)
-    s = series.select(F.col(key), F.col(time_col), F.col(value_col).cast("double").alias("y"))
-    s = s.withColumn("d", F.col("y") - F.lag("y").over(w))
-    s = s.withColumn("d1", F.lag("d").over(w))
-    s = s.withColumn("a", F.sum(F.col("d") * F.col("d1")).over(whole) / F.sum(F.col("d1") * F.col("d1")).over(whole))
-    s = s.withColumn("e", F.col("d") - F.col("a") * F.col("d1"))
-    s = s.withColumn("e1", F.lag("e").over(w))
+    lg = _lagged(series, key, time_col, value_col)
+    lg = lg.withColumns({"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"),
+                         "d2": F.col("y2") - F.col("y3")})
+    # stage 1: AR(1) on differences without intercept (per-series sums)
+    a = lg.groupBy(key).agg((F.sum(F.col("d") * F.col("d1")) / F.sum(F.col("d1") * F.col("d1"))).alias("a"))
+    lg = lg.join(a, key).withColumn("e1", F.col("d1") - F.col("a") * F.col("d2"))
     ok = F.col("d").isNotNull() & F.col("d1").isNotNull() & F.col("e1").isNotNull()
 
     def ssum(expr):
-        return F.sum(F.when(ok, expr)).over(whole)
-    s = s.withColumns({
-        "sxx": ssum(F.col("d1") * F.col("d1")), "see": ssum(F.col("e1") * F.col("e1")),
-        "sxe": ssum(F.col("d1") * F.col("e1")), "sxd": ssum(F.col("d1") * F.col("d")),
-        "sed": ssum(F.col("e1") * F.col("d")),
-    })
+        return F.sum(F.when(ok, expr))
+    # stage 2: least squares of d on (d1, e1) through the 2x2 normal equations
+    st = lg.groupBy(key).agg(
+        ssum(F.col("d1") * F.col("d1")).alias("sxx"), ssum(F.col("e1") * F.col("e1")).alias("see"),
+        ssum(F.col("d1") * F.col("e1")).alias("sxe"), ssum(F.col("d1") * F.col("d")).alias("sxd"),
+        ssum(F.col("e1") * F.col("d")).alias("sed"))
     det = F.col("sxx") * F.col("see") - F.col("sxe") * F.col("sxe")
-    s = s.withColumns({
-        "phi": _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)),
-        "theta": _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det)),
-    })
-    s = s.withColumn("u", F.when(ok, F.col("d") - F.col("phi") * F.col("d1") - F.col("theta") * F.col("e1")))
-    g = s.groupBy(key).agg(
+    st = st.select(
+        key,
+        _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)).alias("phi"),
+        _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det)).alias("theta"))
+    lg = lg.join(st, key).withColumn(
+        "u", F.when(ok, F.col("d") - F.col("phi") * F.col("d1") - F.col("theta") * F.col("e1")))
+    g = lg.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_points"),
-        F.first("phi", ignorenulls=True).alias("phi"),
-        F.first("theta", ignorenulls=True).alias("theta"),
+        F.first("phi").alias("phi"),
+        F.first("theta").alias("theta"),
         F.sum(F.col("u") * F.col("u")).alias("sse"),
         F.count("u").alias("n_resid"),
-        F.max_by("y", time_col).alias("last_value"),
-        F.max_by("d", time_col).alias("last_diff"),
-        F.max_by("u", time_col).alias("last_resid"),
+        F.max_by("y0", "t").alias("last_value"),
+        F.max_by("d", "t").alias("last_diff"),
+        F.max_by("u", "t").alias("last_resid"),
     )
     n = F.col("n_resid")
     aic = n * F.log(F.col("sse") / n) + n * F.lit(1.0 + math.log(2 * math.pi)) + F.lit(6.0)
