@@ -204,8 +204,8 @@ def _brute_nearest(cust, stores):
     return out
 
 
-@pytest.mark.parametrize("cell", [None, 2.0, 7.5, 40.0])
-def test_nearest_store_equals_brute_force(spark, cell):
+@pytest.mark.parametrize("cap", [1, 3, 32])
+def test_nearest_store_equals_brute_force(spark, cap):
     random.seed(11)
     cust = [(i, random.uniform(-89.9, 89.9), random.uniform(-180, 180)) for i in range(120)]
     cust += [(1000, 89.5, 179.9), (1001, -89.7, -179.95), (1002, 0.0, 179.99)]
@@ -213,14 +213,29 @@ def test_nearest_store_equals_brute_force(spark, cell):
     stores += [(900, 88.0, -179.0), (901, 0.0, -179.99), (902, 0.0, -179.99)]   # duplicate point
     cdf = spark.createDataFrame(cust, "customer_id long, customer_lat double, customer_lon double")
     sdf = spark.createDataFrame(stores, "store_id long, store_lat double, store_lon double")
-    got = {r.customer_id: r.nearest_store_id for r in G.nearest_store(cdf, sdf, cell).collect()}
+    got = {r.customer_id: r.nearest_store_id for r in G.nearest_store(cdf, sdf, leaf_capacity=cap).collect()}
+    assert got == _brute_nearest(cust, stores)
+
+
+def test_nearest_store_hot_spot(spark):
+    """A third of the stores packed into a tiny area: the index splits it."""
+    random.seed(12)
+    stores = [(i, random.uniform(-60, 60), random.uniform(-180, 180)) for i in range(60)]
+    stores += [(100 + i, 40.0 + random.uniform(0, 0.01), -74.0 + random.uniform(0, 0.01)) for i in range(30)]
+    cust = [(i, random.uniform(-60, 60), random.uniform(-180, 180)) for i in range(60)]
+    cust += [(500 + i, 40.0 + random.uniform(-0.01, 0.02), -74.0 + random.uniform(-0.01, 0.02)) for i in range(30)]
+    cdf = spark.createDataFrame(cust, "customer_id long, customer_lat double, customer_lon double")
+    sdf = spark.createDataFrame(stores, "store_id long, store_lat double, store_lon double")
+    nodes, leaves, *_ = G.build_store_index(sdf, leaf_capacity=4)
+    assert max(r.n for r in leaves.groupBy("l", "cy", "cx").agg(F.count("*").alias("n")).collect()) <= 4
+    got = {r.customer_id: r.nearest_store_id for r in G.nearest_store(cdf, sdf, leaf_capacity=4).collect()}
     assert got == _brute_nearest(cust, stores)
 
 
 def test_nearest_store_without_stores(spark):
     cdf = spark.createDataFrame([(1, 0.0, 0.0)], "customer_id long, customer_lat double, customer_lon double")
     sdf = spark.createDataFrame([], "store_id long, store_lat double, store_lon double")
-    assert G.nearest_store(cdf, sdf, 30.0).collect()[0].nearest_store_id is None
+    assert G.nearest_store(cdf, sdf).collect()[0].nearest_store_id is None
 
 
 @pytest.mark.parametrize("x", [0.5, 3.84, 10.0])

@@ -1,23 +1,26 @@
-"""Nearest store per customer without a cross join.
-
-Stores are bucketed into a latitude/longitude grid and every step is an
-equi-join on the cell id, so work follows the stores near a customer, not
-all stores:
-
-1. *Upper bound.*  Customers look at the cells around their own cell in
-   bands of growing Chebyshev radius (0, 1, 2, 4, 8, ... cells) until some
-   store turns up; its distance bounds the true nearest distance from above.
-   Only customers still without a candidate go on to the next band, and each
-   band's result is written to the shared checkpoint folder (short lineage).
-2. *Exact search.*  Each customer then scans every cell that intersects the
-   bounding box of the spherical cap with that radius (latitude ± δ,
-   longitude ± asin(sin δ / cos φ), whole longitude circle when the cap holds
-   a pole).  The true nearest store lies inside the cap, so the arg-min over
-   those cells equals the brute-force arg-min, ties broken by ``store_id``.
-
-Stores sharing coordinates are collapsed first (the smallest id is the one
-the tie rule would pick), which keeps a hot location from multiplying the
-join output.
+"""Nearest store per customer: an adaptive grid (quadtree) searched with
+equi-joins — no cross join, and no cell that grows with a hot spot.
+
+Index.  Stores (identical coordinates collapsed, smallest id kept — the one
+the tie rule would pick) are counted in root cells of ``root_degrees``; a
+cell holding more than ``leaf_capacity`` stores is split into four at the
+next level, only for the stores inside it, until every store sits in a leaf
+(or ``max_depth`` is reached).  Each level is one grouped count and one join
+on the cell id; each node keeps a representative store.
+
+Search.
+1. *Upper bound*: the representatives of the cells on the customer's own
+   path (every level) and of all root cells give, through one equi-join, a
+   distance that the nearest store cannot exceed.
+2. *Exact pass*: the tree is descended level by level, keeping only nodes
+   that meet the bounding box of the spherical cap with that radius
+   (latitude ± δ, longitude ± asin(sin δ / cos φ), the whole circle when the
+   cap holds a pole); leaves reached are scanned.  Every store within the
+   bound is therefore examined, so the arg-min — distance, then store_id —
+   equals brute force.  Work per customer is the leaves near it times
+   ``leaf_capacity``, whatever the density elsewhere.
+
+Every round is checkpointed into the shared folder (short lineage).
 """
 
 from __future__ import annotations
@@ -31,88 +34,130 @@ from tillpoint.functions.geo import EARTH_RADIUS_KM, haversine_km
 from tillpoint.session import cut_lineage
 
 
-def _cell(v: Column, g: float) -> Column:
-    return F.floor(v / F.lit(g)).cast("long")
+def _cy(lat: Column, g: float) -> Column:
+    return F.floor(lat / F.lit(g)).cast("long")
+
+
+def _cx(lon: Column, g: float, n: int) -> Column:
+    return F.pmod(F.floor(lon / F.lit(g)).cast("long"), F.lit(n))
+
+
+def build_store_index(stores: DataFrame, leaf_capacity: int = 32, max_depth: int = 24,
+                      root_degrees: float = 45.0):
+    """(nodes, leaf_stores, g0, n0, depth).
+
+    nodes: (l, cy, cx, cnt, is_leaf, rep_id, rep_lat, rep_lon) for every
+    visited cell; leaf_stores: stores with the (l, cy, cx) of their leaf.
+    """
+    n0 = int(math.ceil(360.0 / root_degrees))
+    g0 = 360.0 / n0
+    active = stores.groupBy("store_lat", "store_lon").agg(F.min("store_id").alias("store_id"))
+    node_parts, leaf_parts = [], []
+    depth = 0
+    for level in range(max_depth + 1):
+        g, n = g0 / 2 ** level, n0 * 2 ** level
+        cells = active.select("store_id", "store_lat", "store_lon",
+                              _cy(F.col("store_lat"), g).alias("cy"), _cx(F.col("store_lon"), g, n).alias("cx"))
+        rep = F.struct("store_id", "store_lat", "store_lon")
+        counts = cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("cnt"), F.min_by(rep, F.col("store_id")).alias("rep"))
+        is_leaf = (F.col("cnt") <= leaf_capacity) | F.lit(level == max_depth)
+        counts = cut_lineage(counts.select(
+            F.lit(level).alias("l"), "cy", "cx", "cnt", is_leaf.alias("is_leaf"),
+            F.col("rep.store_id").alias("rep_id"), F.col("rep.store_lat").alias("rep_lat"),
+            F.col("rep.store_lon").alias("rep_lon")))
+        node_parts.append(counts)
+        tagged = cells.join(counts.select("cy", "cx", "is_leaf"), ["cy", "cx"])
+        leaf_parts.append(tagged.filter("is_leaf").select(
+            F.lit(level).alias("l"), "cy", "cx", "store_id", "store_lat", "store_lon"))
+        depth = level
+        active = cut_lineage(tagged.filter(~F.col("is_leaf")).select("store_id", "store_lat", "store_lon"))
+        if active.isEmpty():
+            break
+    nodes = node_parts[0]
+    for p in node_parts[1:]:
+        nodes = nodes.unionByName(p)
+    leaves = leaf_parts[0]
+    for p in leaf_parts[1:]:
+        leaves = leaves.unionByName(p)
+    return nodes, leaves, g0, n0, depth
+
+
+def _cap_box(ub: Column, lat: Column, lon: Column):
+    """Bounding box (degrees) of the spherical cap of radius ``ub`` km."""
+    delta = ub / F.lit(EARTH_RADIUS_KM) * F.lit(1 + 1e-9) + F.lit(1e-12)      # radians, slightly inflated
+    d_deg = F.degrees(delta)
+    lat_lo, lat_hi = lat - d_deg, lat + d_deg
+    ratio = F.sin(delta) / F.cos(F.radians(lat))
+    full = (lat_hi >= 90.0) | (lat_lo <= -90.0) | (ratio >= 1.0)
+    dlon = F.degrees(F.asin(F.least(F.lit(1.0), ratio)))
+    return lat_lo, lat_hi, lon - dlon, lon + dlon, full
 
 
-def default_cell_degrees(n_stores: int, stores_per_cell: float = 4.0) -> float:
-    cells = max(1.0, n_stores / stores_per_cell)
-    return float(min(45.0, max(0.05, math.sqrt(64800.0 / cells))))
+def _meets_box(cy: Column, cx: Column, g: float) -> Column:
+    """Does cell (cy, cx) of size g meet the customer's box?"""
+    lat_ok = (cy * F.lit(g) <= F.col("lat_hi")) & ((cy + 1) * F.lit(g) > F.col("lat_lo"))
+    off = F.pmod(cx * F.lit(g) - F.col("lon_lo"), F.lit(360.0))        # cell start relative to the box start
+    lon_ok = F.col("full_lon") | (off <= F.col("lon_hi") - F.col("lon_lo")) | (off + F.lit(g) > F.lit(360.0))
+    return lat_ok & lon_ok
 
 
-def nearest_store(customers: DataFrame, stores: DataFrame, cell_degrees: float | None = None) -> DataFrame:
+def nearest_store(customers: DataFrame, stores: DataFrame, leaf_capacity: int = 32,
+                  max_depth: int = 24, root_degrees: float = 45.0) -> DataFrame:
     """(customer_id, nearest_store_id, nearest_store_distance); customers are
-    kept (with NULLs) when there is no store at all."""
-    uniq = stores.groupBy("store_lat", "store_lon").agg(F.min("store_id").alias("store_id"))
-    if cell_degrees is None:
-        cell_degrees = default_cell_degrees(uniq.count())
-    n_lon = int(math.ceil(360.0 / float(cell_degrees)))
-    g = 360.0 / n_lon                 # whole cells around the globe: cell(lon) == cell(lon + 360)
-    cy_min, cy_max = int(math.floor(-90.0 / g)), int(math.floor(90.0 / g))
-    store_cells = uniq.select(
-        "store_id", "store_lat", "store_lon",
-        _cell(F.col("store_lat"), g).alias("cy"),
-        F.pmod(_cell(F.col("store_lon"), g), F.lit(n_lon)).alias("cx"))
-    cust = customers.select(
-        "customer_id", "customer_lat", "customer_lon",
-        _cell(F.col("customer_lat"), g).alias("ccy"),
-        _cell(F.col("customer_lon"), g).alias("ccx"))
-
-    def distance_hits(cells: DataFrame) -> DataFrame:
-        return cells.join(store_cells, ["cy", "cx"]).select(
-            "customer_id", "store_id",
-            haversine_km("customer_lat", "customer_lon", "store_lat", "store_lon").alias("d"))
-
-    # ---- phase 1: an upper bound per customer, growing bands of cells
-    bounded: list[DataFrame] = []
-    pending = cust
-    inner, radius = -1, 0
-    covers_all = max(n_lon, cy_max - cy_min + 1)
-    while True:
-        offs = F.sequence(F.lit(-radius), F.lit(radius))
-        band = (pending.select("*", F.explode(offs).alias("dy"))
-                .select("*", F.explode(offs).alias("dx"))
-                .filter(F.greatest(F.abs("dy"), F.abs("dx")) > inner)
-                .select("customer_id", "customer_lat", "customer_lon",
-                        (F.col("ccy") + F.col("dy")).alias("cy"),
-                        F.pmod(F.col("ccx") + F.col("dx"), F.lit(n_lon)).alias("cx"))
-                .filter(F.col("cy").between(cy_min, cy_max))
-                .distinct())
-        ub = distance_hits(band).groupBy("customer_id").agg(F.min("d").alias("ub"))
-        step = cut_lineage(pending.join(ub, "customer_id", "left"))
-        bounded.append(step.filter(F.col("ub").isNotNull()))
-        pending = step.filter(F.col("ub").isNull()).drop("ub")
-        if 2 * radius + 1 >= covers_all or pending.isEmpty():
+    kept (with NULLs) when there are no stores."""
+    nodes, leaves, g0, n0, depth = build_store_index(stores, leaf_capacity, max_depth, root_degrees)
+    cust = customers.select("customer_id", "customer_lat", "customer_lon")
+    lat, lon = F.col("customer_lat"), F.col("customer_lon")
+
+    # ---- 1. upper bound from representatives (own path + every root cell)
+    n_lat0 = int(math.floor(90.0 / g0)) - int(math.floor(-90.0 / g0)) + 1
+    cy0_min = int(math.floor(-90.0 / g0))
+    path = cust.select("customer_id", "customer_lat", "customer_lon",
+                       F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("l"))
+    path = path.select("customer_id", "customer_lat", "customer_lon", "l",
+                       F.floor(lat / (F.lit(g0) / F.pow(F.lit(2.0), F.col("l")))).cast("long").alias("cy"),
+                       F.pmod(F.floor(lon / (F.lit(g0) / F.pow(F.lit(2.0), F.col("l")))).cast("long"),
+                              (F.lit(n0) * F.pow(F.lit(2.0), F.col("l"))).cast("long")).alias("cx"))
+    roots = cust.select("customer_id", "customer_lat", "customer_lon", F.lit(0).alias("l"),
+                        (F.explode(F.sequence(F.lit(0), F.lit(n_lat0 * n0 - 1)))).alias("cell"))
+    roots = roots.select("customer_id", "customer_lat", "customer_lon", "l",
+                         (F.floor(F.col("cell") / n0) + cy0_min).cast("long").alias("cy"),
+                         (F.col("cell") % n0).cast("long").alias("cx"))
+    probes = path.unionByName(roots).join(nodes.select("l", "cy", "cx", "rep_lat", "rep_lon"), ["l", "cy", "cx"])
+    ub = probes.groupBy("customer_id").agg(
+        F.min(haversine_km("customer_lat", "customer_lon", "rep_lat", "rep_lon")).alias("ub"))
+    lat_lo, lat_hi, lon_lo, lon_hi, full = _cap_box(F.col("ub"), lat, lon)
+    boxed = cut_lineage(cust.join(ub, "customer_id").select(
+        "customer_id", "customer_lat", "customer_lon", lat_lo.alias("lat_lo"), lat_hi.alias("lat_hi"),
+        lon_lo.alias("lon_lo"), lon_hi.alias("lon_hi"), full.alias("full_lon")))
+
+    # ---- 2. descend the tree inside each customer's box
+    box_cols = ["customer_id", "customer_lat", "customer_lon", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "full_lon"]
+    frontier = (boxed.select(*box_cols, F.explode(F.sequence(F.lit(0), F.lit(n_lat0 * n0 - 1))).alias("cell"))
+                .select(*box_cols, (F.floor(F.col("cell") / n0) + cy0_min).cast("long").alias("cy"),
+                        (F.col("cell") % n0).cast("long").alias("cx")))
+    frontier = frontier.filter(_meets_box(F.col("cy"), F.col("cx"), g0))
+    leaf_hits = []
+    for level in range(depth + 1):
+        g = g0 / 2 ** level
+        lvl_nodes = nodes.filter(F.col("l") == level).select("cy", "cx", "is_leaf")
+        hit = cut_lineage(frontier.join(lvl_nodes, ["cy", "cx"]))
+        leaf_hits.append(hit.filter("is_leaf").select("customer_id", "customer_lat", "customer_lon",
+                                                      F.lit(level).alias("l"), "cy", "cx"))
+        if level == depth:
             break
-        inner, radius = radius, max(1, radius * 2)
-    upper = bounded[0]
-    for b in bounded[1:]:
-        upper = upper.unionByName(b)
-
-    # ---- phase 2: every cell meeting the cap's bounding box
-    delta = F.col("ub") / F.lit(EARTH_RADIUS_KM) * F.lit(1 + 1e-9) + F.lit(1e-12)   # radians
-    d_deg = F.degrees(delta)
-    lat = F.col("customer_lat")
-    lat_lo, lat_hi = lat - d_deg, lat + d_deg
-    pole = (lat_hi >= 90.0) | (lat_lo <= -90.0)
-    ratio = F.sin(delta) / F.cos(F.radians(lat))
-    full_lon = pole | (ratio >= 1.0)
-    dlon = F.degrees(F.asin(F.least(F.lit(1.0), ratio)))
-    lon = F.col("customer_lon")
-    cx_lo = F.when(full_lon, F.lit(0)).otherwise(_cell(lon - dlon, g))
-    cx_hi = F.when(full_lon, F.lit(n_lon - 1)).otherwise(_cell(lon + dlon, g))
-    cx_hi = F.least(cx_hi, cx_lo + F.lit(n_lon - 1))          # at most once around
-    box = (upper.select(
-        "customer_id", "customer_lat", "customer_lon",
-        F.explode(F.sequence(F.greatest(_cell(lat_lo, g), F.lit(cy_min)),
-                             F.least(_cell(lat_hi, g), F.lit(cy_max)))).alias("cy"),
-        cx_lo.cast("long").alias("cx_lo"), cx_hi.cast("long").alias("cx_hi"))
-        .select("customer_id", "customer_lat", "customer_lon", "cy",
-                F.explode(F.sequence("cx_lo", "cx_hi")).alias("cx_raw"))
-        .select("customer_id", "customer_lat", "customer_lon", "cy",
-                F.pmod(F.col("cx_raw"), F.lit(n_lon)).alias("cx")))
-    best = distance_hits(box).groupBy("customer_id").agg(
-        F.min_by(F.struct("d", "store_id"), F.struct("d", "store_id")).alias("b"))
+        kids = F.array(*[F.struct((F.col("cy") * 2 + a).alias("cy"), (F.col("cx") * 2 + b).alias("cx"))
+                         for a in (0, 1) for b in (0, 1)])
+        frontier = (hit.filter(~F.col("is_leaf")).select(*box_cols, F.explode(kids).alias("k"))
+                    .select(*box_cols, F.col("k.cy").alias("cy"), F.col("k.cx").alias("cx")))
+        frontier = frontier.filter(_meets_box(F.col("cy"), F.col("cx"), g / 2))
+    scan = leaf_hits[0]
+    for h in leaf_hits[1:]:
+        scan = scan.unionByName(h)
+    cand = scan.join(leaves, ["l", "cy", "cx"]).select(
+        "customer_id", "store_id",
+        haversine_km("customer_lat", "customer_lon", "store_lat", "store_lon").alias("d"))
+    best = cand.groupBy("customer_id").agg(F.min_by(F.struct("d", "store_id"), F.struct("d", "store_id")).alias("b"))
     return cust.join(best, "customer_id", "left").select(
         "customer_id", F.col("b.store_id").alias("nearest_store_id"),
         F.col("b.d").alias("nearest_store_distance"))
