@@ -3,9 +3,10 @@ co-purchase top-N.
 
 Pair counting is bounded per basket: only *frequent* items (support ≥
 ``min_support``) can appear in a frequent pair, and there are at most
-1/min_support of them, so each basket contributes at most
-(1/min_support)² pairs whatever its size.  The frequent-item table has the
-same bound, which is what makes broadcasting it safe.
+(average distinct items per basket) / min_support of them, so a basket
+contributes at most that many squared pairs whatever its own size — a huge
+basket cannot blow the pair table up.  The frequent-item table is joined
+like any other (AQE broadcasts it from its measured size).
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ def _frequent_pairs(lines: DataFrame, min_support: float, order_col: str, item_c
     n_orders = items.select("o").distinct().count()
     min_count = min_support * n_orders
     freq = items.groupBy("i").agg(F.count(F.lit(1)).alias("n_i")).filter(F.col("n_i") >= F.lit(min_count))
-    # |freq| <= 1 / min_support by construction
-    kept = items.join(F.broadcast(freq), "i")
+    # |freq| <= (distinct items per basket on average) / min_support
+    kept = items.join(freq, "i")
     a = kept.select("o", F.col("i").alias("a"), F.col("n_i").alias("n_a"))
     b = kept.select("o", F.col("i").alias("b"), F.col("n_i").alias("n_b"))
     pairs = (a.join(b, "o").filter(F.col("a") != F.col("b"))
