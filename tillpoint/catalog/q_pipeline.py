@@ -19,7 +19,8 @@ def _run(spark, sf):
         "orders": fx.orders(spark, sf),
         "sales": fx.sales(spark, sf),
     }
-    return run_pipeline(spark, sources, scratch_path(spark, "pipeline"), fx.AS_OF)
+    out = scratch_path(spark, "pipeline")
+    return run_pipeline(spark, sources, out, fx.AS_OF, orders_table="orders_" + out.rsplit("-", 1)[-1])
 
 
 _VALID = ("valid", """

@@ -41,7 +41,8 @@ ORDER_TABLE_PROPERTIES = {"change_feed": "true", "optimize_write": "true"}
 
 
 def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str, as_of: dt.datetime,
-                 jdbc_url: str | None = None, database: str = "ecom_retail") -> dict[str, DataFrame]:
+                 jdbc_url: str | None = None, database: str = "ecom_retail",
+                 orders_table: str = "orders") -> dict[str, DataFrame]:
     as_of_col = C._lit_ts(as_of)
     # 1. extract
     raw_customers = sources["customers"].filter(F.col("updated_at") <= as_of_col)
@@ -66,7 +67,7 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
                   partition_by=["loyalty_tier", "value_segment"])
     K.write_table(performance, f"{out_dir}/processed/products", "overwrite", partition_by=["category"])
     K.write_table(clv, f"{out_dir}/processed/customer_lifetime_value", "overwrite")
-    orders_table = K.create_table(orders_t, "orders", database=database, path=f"{out_dir}/processed/orders",
+    orders_table = K.create_table(orders_t, orders_table, database=database, path=f"{out_dir}/processed/orders",
                                   partition_by=["year", "month"], properties=ORDER_TABLE_PROPERTIES,
                                   overwrite=True)
 
