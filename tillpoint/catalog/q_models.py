@@ -6,6 +6,7 @@ from tillpoint.catalog.fixture_sql import with_inputs
 from tillpoint.catalog.registry import register
 from tillpoint.operators import customers as C
 from tillpoint.plans.dim_customers import dim_customers, incremental_dim_customers
+from tillpoint.session import cut_lineage
 from tillpoint.sources import fixtures as fx
 
 _DIM_BODY = """
@@ -68,6 +69,6 @@ def q_dim_customers_incremental(spark, sf):
     high-water mark are rebuilt and merged."""
     orders, payments, sessions = _inputs(spark, sf)
     first = C.scalar_columns(fx.customers(spark, sf))
-    target = dim_customers(first, orders, payments, sessions, fx.AS_OF, keep_maps=False)
+    target = cut_lineage(dim_customers(first, orders, payments, sessions, fx.AS_OF, keep_maps=False))
     latest = C.latest_per_key(C.scalar_columns(fx.customers_raw(spark, sf)), "customer_id", "updated_at")
     return incremental_dim_customers(target, latest, orders, payments, sessions, fx.AS_OF, keep_maps=False)

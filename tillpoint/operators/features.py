@@ -41,4 +41,6 @@ def standardize(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
     (a scalar subquery of means and deviations, no join)."""
     stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c)
                               for c in cols]).alias("st")).scalar()
-    return df.withColumns({f"{c}{suffix}": (F.col(c) - stats[c]["m"]) / stats[c]["s"] for c in cols})
+    st = F.col("_st")                                  # one subquery, referenced by column
+    return df.withColumn("_st", stats).withColumns(
+        {f"{c}{suffix}": (F.col(c) - st[c]["m"]) / st[c]["s"] for c in cols}).drop("_st")

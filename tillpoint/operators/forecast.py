@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.operators.sequencing import sequence_within_groups
+from tillpoint.session import cut_lineage
 
 CLIP = 0.99
 
@@ -58,9 +59,9 @@ def _lagged(series: DataFrame, key: str, time_col: str, value_col: str, depth: i
 
 def arima111_params(series: DataFrame, key: str = "product_id", time_col: str = "date",
                     value_col: str = "sales", min_points: int = 8) -> DataFrame:
-    lg = _lagged(series, key, time_col, value_col)
-    lg = lg.withColumns({"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"),
-                         "d2": F.col("y2") - F.col("y3")})
+    # read by three aggregates and two joins below: materialise once
+    lg = cut_lineage(_lagged(series, key, time_col, value_col).withColumns(
+        {"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"), "d2": F.col("y2") - F.col("y3")}))
     # stage 1: AR(1) on differences without intercept (per-series sums)
     a = lg.groupBy(key).agg((F.sum(F.col("d") * F.col("d1")) / F.sum(F.col("d1") * F.col("d1"))).alias("a"))
     lg = lg.join(a, key).withColumn("e1", F.col("d1") - F.col("a") * F.col("d2"))

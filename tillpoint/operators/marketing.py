@@ -45,11 +45,13 @@ def rfm_scores_approx(customers: DataFrame, orders: DataFrame, as_of, buckets: i
     base = rfm_base(customers, orders, as_of)
     probs = [i / buckets for i in range(1, buckets)]
     # one scalar subquery holding all cut points (a few numbers; no join)
-    cuts = base.agg(F.struct(
+    cut_points = base.agg(F.struct(
         F.percentile_approx("recency_days", probs, accuracy).alias("r"),
         F.percentile_approx("frequency", probs, accuracy).alias("f"),
         F.percentile_approx("monetary", probs, accuracy).alias("m"),
     ).alias("cuts")).scalar()
+    base = base.withColumn("_cuts", cut_points)      # one subquery, referenced below by column
+    cuts = F.col("_cuts")
 
     def score(value: str, cut: str, higher_is_better: bool) -> F.Column:
         # number of cut points below the value (element access, no lambda:
@@ -63,7 +65,7 @@ def rfm_scores_approx(customers: DataFrame, orders: DataFrame, as_of, buckets: i
         "r_score": score("recency_days", "r", False).cast("int"),
         "f_score": score("frequency", "f", True).cast("int"),
         "m_score": score("monetary", "m", True).cast("int"),
-    })
+    }).drop("_cuts")
     return out.withColumn("rfm_score", F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score"))
 
 

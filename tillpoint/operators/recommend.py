@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.operators.aggregates import order_baskets
+from tillpoint.session import cut_lineage
 
 
 def association_rules(lines: DataFrame, min_support: float = 0.01, min_confidence: float = 0.5,
@@ -32,7 +33,7 @@ def _frequent_pairs(lines: DataFrame, min_support: float, order_col: str, item_c
     min_count = min_support * n_orders
     freq = items.groupBy("i").agg(F.count(F.lit(1)).alias("n_i")).filter(F.col("n_i") >= F.lit(min_count))
     # |freq| <= (distinct items per basket on average) / min_support
-    kept = items.join(freq, "i")
+    kept = cut_lineage(items.join(freq, "i"))          # self-joined below: materialise once
     a = kept.select("o", F.col("i").alias("a"), F.col("n_i").alias("n_a"))
     b = kept.select("o", F.col("i").alias("b"), F.col("n_i").alias("n_b"))
     pairs = (a.join(b, "o").filter(F.col("a") != F.col("b"))
