@@ -317,3 +317,35 @@ def test_sequence_within_groups_matches_window_on_skewed_groups(spark):
         got = sequence_within_groups(df, ["k"], ["t", "id"], rn_col="rn", lags={"prev": "t"},
                                      desc_cols=["t"], partitions=parts)
         assert {r.id: (r.rn, r.prev) for r in got.collect()} == expect
+
+
+def test_split_window_functions_match_spark_windows(spark):
+    from tillpoint.operators.sequencing import split_window
+
+    random.seed(9)
+    rows = [(0 if random.random() < 0.5 else random.randint(1, 20), i,
+             random.randint(0, 15), None if random.random() < 0.1 else float(random.randint(0, 9)))
+            for i in range(2500)]
+    rows += [(None, 9000 + i, i % 4, 1.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, id long, t long, v double")
+    order = [F.col("t").desc(), F.col("id").asc()]
+    w = Window.partitionBy("k").orderBy(*order)
+    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("id", F.row_number().over(w).alias("rn"), F.lag("v").over(w).alias("lg"),
+                     F.lead("v").over(w).alias("ld"), F.sum("v").over(wr).alias("rs"),
+                     F.count("v").over(wr).alias("rc"))
+    expect = {r.id: tuple(r)[1:] for r in want.collect()}
+    # ties on the order (t only): rank / dense_rank / default range frame
+    wt = Window.partitionBy("k").orderBy(F.col("t").desc())
+    want_t = {r.id: tuple(r)[1:] for r in df.select("id", F.rank().over(wt).alias("rk"),
+                                                  F.dense_rank().over(wt).alias("dr"),
+                                                  F.sum("v").over(wt).alias("rs")).collect()}
+    for parts in (1, 4, 16):
+        got = split_window(df, ["k"], order, [("row_number", "rn"), ("lag", "lg", "v"), ("lead", "ld", "v"),
+                                              ("running_sum", "rs", "v"), ("running_count", "rc", "v")],
+                           partitions=parts)
+        assert {r.id: (r.rn, r.lg, r.ld, r.rs, r.rc) for r in got.collect()} == expect
+        got_t = split_window(df, ["k"], [F.col("t").desc()], [("rank", "rk"), ("dense_rank", "dr"),
+                                                               ("running_sum", "rs", "v")],
+                             range_frame=True, partitions=parts)
+        assert {r.id: (r.rk, r.dr, r.rs) for r in got_t.collect()} == want_t

@@ -27,54 +27,116 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.session import cut_lineage
 
 
-def sequence_within_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                           rn_col: str = "row_number", lags: Mapping[str, str] | None = None,
-                           desc_cols: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Add ``rn_col`` (1-based position in the group by ``order``) and, for
-    each ``{out: col}`` in ``lags``, the previous row's ``col`` in the group."""
-    lags = dict(lags or {})
+# Supported per-row outputs of ``split_window`` (kind, output column, input column):
+#   row_number, rank, dense_rank             — positions in the group
+#   lag, lead                                — previous / next row's value (offset 1)
+#   running_sum, running_count               — over the frame (rows or the default range frame)
+SUPPORTED = ("row_number", "rank", "dense_rank", "lag", "lead", "running_sum", "running_count")
+
+
+def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column], outputs,
+                 range_frame: bool = False, partitions: int | None = None) -> DataFrame:
+    """Window functions over (keys ordered by ``ordering``) computed on a
+    range-split layout, so a hot key never sits in one task.
+
+    Ties of the full ordering never straddle two range partitions (equal
+    sort keys go to the same partition), so local ranks and range frames are
+    exact inside a partition and only additive carries (rows, distinct order
+    values, sums, counts) and one boundary row cross partitions.
+    """
+    outputs = [tuple(o) + (None,) * (3 - len(o)) for o in outputs]
+    for kind, _, _ in outputs:
+        if kind not in SUPPORTED:
+            raise ValueError(f"unsupported split-window function {kind!r}")
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    desc = set(desc_cols)
-    ordering = [F.col(c).desc() if c in desc else F.col(c).asc() for c in order]
     key_struct = F.struct(*[F.col(k) for k in keys])
-
     s = (df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *ordering)
          .withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", *keys).orderBy(*ordering)
-    s = s.withColumn("_lrn", F.row_number().over(w))
-    for out, c in lags.items():
-        s = s.withColumn(f"_lag_{out}", F.lag(c).over(w))
-    # Materialise once: every consumer below must see the same range bounds
-    # (each range exchange samples its input afresh), and the written copy
-    # doubles as a lineage cut for recovery.
-    s = cut_lineage(s)
-
-    # ---- per-partition summary (one row per range partition)
+    wf = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame else \
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("_pid", *keys)
+    local = {"_lrn": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(whole),
+             "_lrank": F.rank().over(w), "_ldense": F.dense_rank().over(w)}
+    for i, (kind, _, col) in enumerate(outputs):
+        if kind == "lag":
+            local[f"_o{i}"] = F.lag(col).over(w)
+        elif kind == "lead":
+            local[f"_o{i}"] = F.lead(col).over(w)
+        elif kind == "running_sum":
+            local[f"_o{i}"] = F.sum(col).over(wf)
+            local[f"_t{i}"] = F.sum(col).over(whole)
+        elif kind == "running_count":
+            c = F.lit(1) if col in (None, "*") else F.col(col)
+            local[f"_o{i}"] = F.count(c).over(wf)
+            local[f"_t{i}"] = F.count(c).over(whole)
+    # one materialised copy: each re-run range exchange would sample new bounds
+    s = cut_lineage(s.withColumns(local))
+
+    # ---- per-partition summary: first and last group, carries of the last group
+    vcols = sorted({col for kind, _, col in outputs if kind in ("lag", "lead")})
+    vals = F.struct(*[F.col(c).alias(c) for c in vcols]) if vcols else F.lit(None)
+    tails = [F.max("_lcnt").alias("_c_cnt"), F.max("_ldense").alias("_c_dense"),
+             F.max_by(vals, F.col("_lrn")).alias("_c_last")]
+    tails += [F.max(f"_t{i}").alias(f"_c{i}") for i, (k, _, _) in enumerate(outputs) if k.startswith("running")]
     bounds = s.groupBy("_pid").agg(F.min(key_struct).alias("_first"), F.max(key_struct).alias("_last"))
-    last_vals = F.struct(*[F.col(c).alias(c) for c in lags.values()]) if lags else F.lit(None)
-    tail = (s.join(F.broadcast(bounds.select("_pid", "_last")), "_pid")
-            .filter(key_struct.eqNullSafe(F.col("_last")))
-            .groupBy("_pid").agg(F.count(F.lit(1)).alias("_last_cnt"),
-                                 F.max_by(last_vals, F.col("_lrn")).alias("_last_vals")))
-    summary = bounds.join(tail, "_pid")
-    p = summary.select("_pid", "_first")
-    q = summary.select(F.col("_pid").alias("_qpid"), F.col("_last").alias("_qlast"), "_last_cnt", "_last_vals")
-    fix = (p.join(q, F.col("_qlast").eqNullSafe(F.col("_first")) & (F.col("_qpid") < F.col("_pid")))
-           .groupBy("_pid", "_first").agg(F.sum("_last_cnt").alias("_offset"),
-                                          F.max_by("_last_vals", "_qpid").alias("_prev_vals")))
-    # ---- apply: only the first group of a partition can continue an earlier one
+    tail = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_last")))
+            .groupBy("_pid").agg(*tails))
+    head = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_first")))
+            .groupBy("_pid").agg(F.min_by(vals, F.col("_lrn")).alias("_h_first")))
+    summary = bounds.join(tail, "_pid").join(head, "_pid")       # one row per range partition
+    me = summary.select("_pid", "_first", "_last")
+    other = summary.select(*[F.col(c).alias("q" + c) for c in summary.columns])
+    carries = [F.sum("q_c_cnt").alias("_k_cnt"), F.sum("q_c_dense").alias("_k_dense"),
+               F.max_by("q_c_last", "q_pid").alias("_k_last")]
+    carries += [F.sum(f"q_c{i}").alias(f"_k{i}") for i, (k, _, _) in enumerate(outputs) if k.startswith("running")]
+    before = (me.join(other, F.col("q_last").eqNullSafe(F.col("_first")) & (F.col("q_pid") < F.col("_pid")))
+              .groupBy("_pid").agg(*carries))
+    after = (me.join(other, F.col("q_first").eqNullSafe(F.col("_last")) & (F.col("q_pid") > F.col("_pid")))
+             .groupBy("_pid").agg(F.min_by("q_h_first", "q_pid").alias("_k_next")))
+    fix = me.join(before, "_pid", "left").join(after, "_pid", "left")
+
+    # ---- apply: the first group may continue earlier partitions, the last one later ones
     out = s.join(F.broadcast(fix), "_pid", "left")
-    cont = F.col("_first").isNotNull() & key_struct.eqNullSafe(F.col("_first"))
-    cols = {rn_col: F.col("_lrn") + F.when(cont, F.col("_offset")).otherwise(F.lit(0))}
-    for out_col, c in lags.items():
-        cols[out_col] = F.when(cont & (F.col("_lrn") == 1), F.col("_prev_vals")[c]).otherwise(F.col(f"_lag_{out_col}"))
+    cont_first = key_struct.eqNullSafe(F.col("_first")) & F.col("_k_cnt").isNotNull()
+    cont_last = key_struct.eqNullSafe(F.col("_last")) & F.col("_k_next").isNotNull()
+    carry = lambda c: F.when(cont_first, F.col(c)).otherwise(F.lit(0))
+    cols = {}
+    for i, (kind, name, col) in enumerate(outputs):
+        if kind == "row_number":
+            cols[name] = F.col("_lrn") + carry("_k_cnt")
+        elif kind == "rank":
+            cols[name] = F.col("_lrank") + carry("_k_cnt")
+        elif kind == "dense_rank":
+            cols[name] = F.col("_ldense") + carry("_k_dense")
+        elif kind == "lag":
+            cols[name] = F.when(cont_first & (F.col("_lrn") == 1), F.col("_k_last")[col]).otherwise(F.col(f"_o{i}"))
+        elif kind == "lead":
+            cols[name] = F.when(cont_last & (F.col("_lrn") == F.col("_lcnt")),
+                                F.col("_k_next")[col]).otherwise(F.col(f"_o{i}"))
+        else:
+            k = F.when(cont_first, F.col(f"_k{i}"))
+            cols[name] = F.when(F.col(f"_o{i}").isNull() & k.isNull(), F.lit(None)).otherwise(
+                F.coalesce(F.col(f"_o{i}"), F.lit(0)) + F.coalesce(k, F.lit(0)))
     out = out.withColumns(cols)
-    drop = ["_pid", "_lrn", "_first", "_offset", "_prev_vals"] + [f"_lag_{o}" for o in lags]
-    return out.drop(*drop)
+    keep = set(df.columns) | {name for _, name, _ in outputs}
+    helper = [c for c in out.columns if c.startswith("_") and c not in keep]
+    return out.drop(*helper)
+
+
+def sequence_within_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                           rn_col: str = "row_number", lags: Mapping[str, str] | None = None,
+                           desc_cols: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Add ``rn_col`` (1-based position in the group by ``order``) and, for
+    each ``{out: col}`` in ``lags``, the previous row's ``col`` in the group."""
+    desc = set(desc_cols)
+    ordering = [F.col(c).desc() if c in desc else F.col(c).asc() for c in order]
+    outputs = [("row_number", rn_col)] + [("lag", out, c) for out, c in (lags or {}).items()]
+    return split_window(df, keys, ordering, outputs, partitions=partitions)

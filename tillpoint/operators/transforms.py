@@ -11,7 +11,9 @@ Supported ``type`` values and their keys:
   (list of SQL aggregate texts)
 * ``pivot``        — pivot_col, values (optional), group_by, aggregations
 * ``window``       — window_spec {partition_by, order_by, frame {start, end}},
-  function (SQL text such as "rank()" or "sum(x)", or a Column), column_name
+  function (SQL text such as "rank()" or "sum(x)", or a Column), column_name,
+  skew_safe (default True: ranking, lag/lead and running sum/count are
+  computed split across hot partition keys)
 * ``udf``          — udf_name, function, input_cols, output_col, return_type
 * ``pandas_udf``   — pandas_udf_name, function, input_cols, output_col,
   return_type, function_type ("SCALAR" or "GROUPED_AGG"; a grouped
@@ -25,6 +27,7 @@ Catalyst plan.  An unknown type raises ``ValueError``.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+import re
 from functools import reduce
 from typing import Any
 
@@ -32,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
+from tillpoint.operators.sequencing import split_window
+
 FRAME_TOKENS = {
     "unboundedpreceding": Window.unboundedPreceding,
     "unboundedfollowing": Window.unboundedFollowing,
@@ -121,8 +126,51 @@ def pivot(df: DataFrame, t: Mapping, **_) -> DataFrame:
     return grouped.agg(*[_expr(a) for a in _as_list(t["aggregations"])])
 
 
+_RANKING = re.compile(r"^\s*(row_number|rank|dense_rank)\s*\(\s*\)\s*$", re.I)
+_SHIFT = re.compile(r"^\s*(lag|lead)\s*\(\s*`?(\w+)`?\s*(,\s*1\s*)?\)\s*$", re.I)
+_RUNNING = re.compile(r"^\s*(sum|count)\s*\(\s*(\*|1|`?\w+`?)\s*\)\s*$", re.I)
+
+
+def _split_plan(t: Mapping):
+    """(kind, input column, range frame?) when the window can run split
+    across a hot partition key (see ``operators.sequencing``), else None."""
+    spec = t["window_spec"]
+    fn = t["function"]
+    if not isinstance(fn, str) or not _as_list(spec.get("partition_by")) or not _as_list(spec.get("order_by")):
+        return None
+    frame = spec.get("frame")
+    m = _RANKING.match(fn)
+    if m and not frame:
+        return m.group(1).lower(), None, False
+    m = _SHIFT.match(fn)
+    if m and not frame:
+        return m.group(1).lower(), m.group(2), False
+    m = _RUNNING.match(fn)
+    if m:
+        col = m.group(2).strip("`")
+        kind = "running_sum" if m.group(1).lower() == "sum" else "running_count"
+        if kind == "running_sum" and col in ("*", "1"):
+            return None
+        if not frame:
+            return kind, col, True                     # default frame: range, unbounded → current
+        start, end = _frame_bound(frame["start"]), _frame_bound(frame["end"])
+        if start == Window.unboundedPreceding and end == Window.currentRow:
+            return kind, col, frame.get("kind", "rows") == "range"
+    return None
+
+
 def window(df: DataFrame, t: Mapping, **_) -> DataFrame:
-    return df.withColumn(t["column_name"], _expr(t["function"]).over(window_spec(t["window_spec"])))
+    """Window step.  Ranking, lag/lead and running sum/count over a
+    partitioned, ordered window run split across hot keys unless the step
+    sets ``skew_safe: False``; other functions use a plain Spark window."""
+    plan = _split_plan(t) if t.get("skew_safe", True) else None
+    if plan is None:
+        return df.withColumn(t["column_name"], _expr(t["function"]).over(window_spec(t["window_spec"])))
+    kind, col, range_frame = plan
+    spec = t["window_spec"]
+    ordering = [_sort_col(o) for o in _as_list(spec["order_by"])]
+    out = (kind, t["column_name"], col) if col else (kind, t["column_name"])
+    return split_window(df, _as_list(spec["partition_by"]), ordering, [out], range_frame=range_frame)
 
 
 def _udf_args(t: Mapping) -> list[Column]:
