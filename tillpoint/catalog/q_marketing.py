@@ -75,7 +75,7 @@ def q_nearest_store_grid(spark, sf):
 
 # --------------------------------------------------------------------------- experiments
 @register("ab_contingency", with_inputs(["f_experiment"], """
-select variant, count_if(coalesce(converted, false)) as success, count(*) as total,
+select variant, cast(count_if(coalesce(converted, false)) as bigint) as success, count(*) as total,
        count_if(coalesce(converted, false)) / count(*) as conversion_rate
 from f_experiment group by variant"""))
 def q_ab_contingency(spark, sf):

@@ -21,7 +21,7 @@ PRICING_RULES = [
 @register("product_catalog_summary", with_inputs(["f_products", "f_categories"], """
 select p.category_id, c.category_name, count(*) as product_count,
        round(sum(p.price), 6) / count(p.price) as avg_price,
-       count_if(p.in_stock) as in_stock_count
+       cast(count_if(p.in_stock) as bigint) as in_stock_count
 from f_products p left join f_categories c using (category_id)
 group by p.category_id, c.category_name"""))
 def q_catalog_summary(spark, sf):

@@ -33,16 +33,18 @@ def _finish_sql(name, kind, threshold, fraction: bool) -> str:
 
 
 _COMPLETENESS = _finish_sql("contacts_complete", "completeness", 0.1, True) + """
-from (select 'email' as column_name, count_if(email is null) as violations, count(*) as total from f_customers_raw
+from (select 'email' as column_name, cast(count_if(email is null) as bigint) as violations, count(*) as total
+      from f_customers_raw
       union all
-      select 'phone', count_if(phone is null), count(*) from f_customers_raw)"""
+      select 'phone', cast(count_if(phone is null) as bigint), count(*) from f_customers_raw)"""
 _UNIQUENESS = _finish_sql("customer_id_unique", "uniqueness", 5.0, False) + """
-from (select 'customer_id' as column_name, coalesce(sum(case when n > 1 then n end), 0) as violations,
-             coalesce(sum(n), 0) as total
+from (select 'customer_id' as column_name, cast(coalesce(sum(case when n > 1 then n end), 0) as bigint) as violations,
+             cast(coalesce(sum(n), 0) as bigint) as total
       from (select customer_id, count(*) as n from f_customers_raw group by customer_id))"""
 _CONSISTENCY = _finish_sql("registered_before_run", "consistency", 0.0, True) + """
 from (select null::varchar as column_name,
-             count_if(not coalesce(registration_date <= TIMESTAMP '2002-01-01 00:00:00', false)) as violations,
+             cast(count_if(not coalesce(registration_date <= TIMESTAMP '2002-01-01 00:00:00', false)) as bigint)
+               as violations,
              count(*) as total from f_customers_raw)"""
 _VALID = ("valid", """select customer_id from (
     select *, row_number() over (partition by customer_id order by updated_at desc) as rn from f_customers_raw)
@@ -82,7 +84,8 @@ def q_dq_referential(spark, sf):
 
 
 @register("dq_summary", with_inputs(["f_customers_raw", "f_orders"], """
-select count_if(passed) as passed_checks, count_if(not passed) as failed_checks, count(*) as total_checks
+select cast(count_if(passed) as bigint) as passed_checks, cast(count_if(not passed) as bigint) as failed_checks,
+       count(*) as total_checks
 from (select check_name, bool_and(passed) as passed from all_checks group by check_name)""",
                                     ctes=[_VALID, ("all_checks", " union all ".join(
                                         f"({x})" for x in (_COMPLETENESS, _UNIQUENESS, _CONSISTENCY, _REFERENTIAL)))]))

@@ -33,7 +33,7 @@ CHAIN = [
 
 
 @register("transform_chain", with_inputs(["f_orders"], """
-select year(order_date) as order_year, order_status, count(*) as n_orders,
+select cast(year(order_date) as integer) as order_year, order_status, count(*) as n_orders,
        round(sum(total_amount), 6) as revenue, max(total_amount) as max_amount
 from f_orders where total_amount > 100 and order_status <> 'P'
 group by 1, 2"""))

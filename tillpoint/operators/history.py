@@ -40,8 +40,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
     """
     keys = _keys(key)
     if check_unique:
-        dup = source.groupBy(*keys).count().filter("count > 1").limit(1).count()
-        if dup:
+        if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
             raise ValueError("merge source has duplicate keys")
     kept = target.join(source.select(*keys).filter(
         " and ".join(f"`{k}` is not null" for k in keys)), keys, "left_anti")
