@@ -22,6 +22,10 @@ from tillpoint.session import scratch_path
 from tillpoint.sinks import tables as K
 from tillpoint.sources import fixtures as fx
 from tillpoint.sources import tables as S
+from tillpoint.sources.entities import CUSTOMER, EntitySpec
+
+# the merge test works on a column subset of customers: key + the columns it carries
+CUSTOMER_KEYED = EntitySpec("customers", ("customer_id",), ("customer_id",))
 
 ASOF_TS = "2024-01-02 12:00:00"
 
@@ -181,7 +185,7 @@ def q_merge_upsert(spark, sf):
     updates = raw.filter(F.col("last_name").startswith("Relast"))
     inserts = target.filter(F.col("customer_id") % 97 == 0).withColumn(
         "customer_id", F.col("customer_id") + 1000000000)
-    return H.merge_upsert(target, updates.unionByName(inserts), "customer_id")
+    return CUSTOMER_KEYED.merge(target, updates.unionByName(inserts))
 
 
 @register("retention_keep", with_inputs(["f_change_log"], f"""
@@ -230,7 +234,6 @@ def q_change_feed(spark, sf):
 
 
 # --------------------------------------------------------------------------- entity load / quarantine
-_CUSTOMER_REQUIRED = C.CUSTOMER_REQUIRED
 
 
 @register("customer_write_roundtrip", with_inputs(["f_customers"], "select * from f_customers"))
@@ -238,8 +241,8 @@ def q_customer_write_roundtrip(spark, sf):
     """Customer entity written partitioned by loyalty tier (NULL tier goes to
     the default partition and reads back as NULL)."""
     path = scratch_path(spark, "customers")
-    K.write_table(C.scalar_columns(fx.customers(spark, sf)), path, "overwrite",
-                  partition_by=["loyalty_tier"], compact_files=1)
+    K.write_table(CUSTOMER.validate(C.scalar_columns(fx.customers(spark, sf))), path, "overwrite",
+                  partition_by=list(CUSTOMER.partition_by), compact_files=1)
     return spark.read.parquet(path)
 
 
@@ -247,7 +250,7 @@ def q_customer_write_roundtrip(spark, sf):
 def q_load_customer_entity(spark, sf):
     path = scratch_path(spark, "customer_entity")
     K.write_table(C.scalar_columns(fx.customers(spark, sf)), path, "overwrite")
-    return S.load_entity(S.scan_table(spark, path), _CUSTOMER_REQUIRED, "customers")
+    return CUSTOMER.validate(S.scan_table(spark, path))
 
 
 @register("quarantine_append", with_inputs(["f_customers_raw"], """

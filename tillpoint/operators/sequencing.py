@@ -63,8 +63,11 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     wf = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame else \
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("_pid", *keys)
-    local = {"_lrn": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(whole),
-             "_lrank": F.rank().over(w), "_ldense": F.dense_rank().over(w)}
+    kinds = {k for k, _, _ in outputs}
+    local = {"_lrn": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(whole)}
+    if "rank" in kinds:
+        local["_lrank"] = F.rank().over(w)
+    local["_ldense"] = F.dense_rank().over(w) if "dense_rank" in kinds else F.lit(0)
     for i, (kind, _, col) in enumerate(outputs):
         if kind == "lag":
             local[f"_o{i}"] = F.lag(col).over(w)
