@@ -47,10 +47,9 @@ def q_inventory_turnover(spark, sf):
 
 
 @register("dynamic_pricing", with_inputs(["f_products"], """
-select * replace (case when not in_stock then p2 * 0.8 else p2 end as price) from (
+select * exclude (p1, p2) replace (case when not in_stock then p2 * 0.8 else p2 end as price) from (
   select *, case when p1 > 1500 then p1 * 0.9 else p1 end as p2 from (
-    select *, case when category_id > 40 then price * 1.1 else price end as p1 from f_products))
-""".replace("select * replace", "select * exclude (p1, p2) replace")))
+    select *, case when category_id > 40 then price * 1.1 else price end as p1 from f_products))"""))
 def q_dynamic_pricing(spark, sf):
     return P.apply_dynamic_pricing(fx.products(spark, sf), PRICING_RULES)
 
