@@ -6,8 +6,9 @@ date.  Stage order follows the original job:
 
 1. extract — customers updated up to the run date;
 2. transform — clean + validate customers in one tagged pass (written once
-   to the shared checkpoint folder because three outputs read it), reject
-   rows appended to a quarantine table; order timelines;
+   to the shared checkpoint folder because three outputs read it), rejected
+   rows added to a quarantine table under the run's date (dynamic partition
+   overwrite, so a retried run does not duplicate them); order timelines;
 3. enrich — lifetime value, product performance, activity flags and value
    segment;
 4. load — customers partitioned by (loyalty_tier, value_segment), products by
@@ -52,7 +53,11 @@ def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir:
     tagged = cut_lineage(C.tag_customers(raw_customers, as_of))
     valid = tagged.filter("is_valid").drop("is_valid")
     invalid = tagged.filter(~F.col("is_valid")).drop("is_valid")
-    K.write_table(invalid, f"{out_dir}/staging/invalid_customers", "append")
+    # rejected rows land in this run's partition; a re-run of the same date
+    # replaces that partition instead of appending the rows twice
+    K.write_table(invalid.withColumn("run_date", F.lit(as_of.date() if isinstance(as_of, dt.datetime) else as_of)),
+                  f"{out_dir}/staging/invalid_customers", "overwrite", partition_by=["run_date"],
+                  dynamic_partitions=True)
     orders_t = O.order_timelines(orders).withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
 
     # 3. enrich
