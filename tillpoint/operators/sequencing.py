@@ -54,11 +54,13 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     for kind, _, _ in outputs:
         if kind not in SUPPORTED:
             raise ValueError(f"unsupported split-window function {kind!r}")
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_struct = F.struct(*[F.col(k) for k in keys])
-    s = (df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *ordering)
-         .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count the range exchange is sized by AQE (initial
+    # partition number, then coalesced to the advisory size); coalescing joins
+    # neighbouring ranges, so partition ids stay in key order.
+    sort_keys = [F.col(k).asc() for k in keys] + list(ordering)
+    ranged = df.repartitionByRange(partitions, *sort_keys) if partitions else df.repartitionByRange(*sort_keys)
+    s = ranged.withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", *keys).orderBy(*ordering)
     wf = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame else \
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
