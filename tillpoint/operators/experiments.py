@@ -1,14 +1,13 @@
 """A/B experiment statistics: contingency table and chi-square test.
 
 The raw rows are reduced to one row per variant by a grouped aggregate; all
-later arithmetic runs on that tiny frame (its size is the number of arms, not
-the number of events), inside Spark, with the survival function written as a
-Column expression.
+later arithmetic runs on that small frame (one row per arm), inside Spark,
+with the survival function written as a Column expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.functions.stats import chi2_sf
@@ -28,30 +27,30 @@ def chi_square_test(df: DataFrame, variant_col: str = "variant", success_col: st
 
     With one degree of freedom the Yates continuity correction is applied
     (|O−E| reduced by min(0.5, |O−E|)), the usual default for 2×2 tables.
-    One output row: chi_square, dof, p_value, is_significant, n_variants.
+    The grand totals enter as one scalar subquery over the per-variant
+    table, so no window and no join is needed.  One output row:
+    chi_square, dof, n_variants, p_value, is_significant.
     """
     t = contingency(df, variant_col, success_col).select("variant", "success", "total")
-    cells = t.select("variant", F.col("total").alias("row_total"),
-                     F.inline(F.array(
-                         F.struct(F.lit("success").alias("outcome"), F.col("success").alias("observed")),
-                         F.struct(F.lit("failure").alias("outcome"),
-                                  (F.col("total") - F.col("success")).alias("observed")))))
-    everything = Window.partitionBy()            # the table has 2 × (number of arms) cells
-    per_outcome = Window.partitionBy("outcome")
-    cells = cells.withColumns({
-        "n": F.sum("observed").over(everything),
-        "col_total": F.sum("observed").over(per_outcome),
-        "n_variants": F.size(F.collect_set("variant").over(everything)),
-    }).withColumn("expected", F.col("row_total") * F.col("col_total") / F.col("n"))
-    dof = (F.col("n_variants") - 1)
-    diff = F.abs(F.col("observed") - F.col("expected"))
-    shift = F.least(F.lit(0.5), diff) if correction else F.lit(0.0)
-    cells = cells.withColumn("dof", dof).withColumn(
-        "term", F.pow(diff - F.when(F.col("dof") == 1, shift).otherwise(F.lit(0.0)), 2) / F.col("expected"))
+    tot = t.agg(F.struct(F.sum("success").alias("s"), F.sum("total").alias("n"),
+                         F.count(F.lit(1)).alias("k")).alias("tot")).scalar()
+    t = t.withColumn("_tot", tot)
+    n, s_all, k = F.col("_tot.n"), F.col("_tot.s"), F.col("_tot.k")
+    dof = k - 1
+
+    def term(observed, expected):
+        diff = F.abs(observed - expected)
+        shift = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(F.lit(0.0)) if correction else F.lit(0.0)
+        return F.pow(diff - shift, 2) / expected
+
+    cells = t.select(
+        dof.alias("dof"), k.alias("k"),
+        (term(F.col("success"), F.col("total") * s_all / n)
+         + term(F.col("total") - F.col("success"), F.col("total") * (n - s_all) / n)).alias("term"))
     stat = cells.groupBy().agg(
         F.sum("term").alias("chi_square"),
         F.max("dof").cast("int").alias("dof"),
-        F.max("n_variants").cast("int").alias("n_variants"),
+        F.max("k").cast("int").alias("n_variants"),
     )
     return stat.withColumn("p_value", chi2_sf(F.col("chi_square"), F.col("dof"))).withColumn(
         "is_significant", F.col("p_value") < alpha)
