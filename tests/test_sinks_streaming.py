@@ -102,15 +102,15 @@ def test_stream_matches_batch_and_drops_late_rows(spark):
     assert run("chained", out1, ck1) == first
 
 
-def test_pipeline_rerun_does_not_duplicate_quarantine(spark):
+def test_retail_job_rerun_does_not_duplicate_quarantine(spark):
     from tillpoint.operators import customers as C
-    from tillpoint.plans.pipeline import run_pipeline
+    from tillpoint.plans.retail_job import run_retail_job
     from tillpoint.sources import fixtures as fx
 
     sources = {"customers": C.scalar_columns(fx.customers_raw(spark, SF_SMALL)),
                "products": fx.products(spark, SF_SMALL), "orders": fx.orders(spark, SF_SMALL),
                "sales": fx.sales(spark, SF_SMALL)}
     out = scratch_path(spark, "pipe")
-    first = run_pipeline(spark, sources, out, fx.AS_OF, orders_table="o1")["invalid_customers"].count()
-    again = run_pipeline(spark, sources, out, fx.AS_OF, orders_table="o2")["invalid_customers"].count()
+    first = run_retail_job(spark, sources, out, fx.AS_OF, orders_table="o1")["invalid_customers"].count()
+    again = run_retail_job(spark, sources, out, fx.AS_OF, orders_table="o2")["invalid_customers"].count()
     assert first == again > 0

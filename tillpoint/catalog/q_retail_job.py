@@ -1,4 +1,4 @@
-"""End-to-end pipeline queries: run the batch pipeline into a fresh folder
+"""End-to-end batch-job queries: run the retail job into a fresh folder
 under the shared checkpoint directory and return one loaded table."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ from tillpoint.catalog.common import exact_means, round_cols
 from tillpoint.catalog.fixture_sql import with_inputs
 from tillpoint.catalog.registry import register
 from tillpoint.operators import customers as C
-from tillpoint.plans.pipeline import run_pipeline
+from tillpoint.plans.retail_job import run_retail_job
 from tillpoint.session import scratch_path
 from tillpoint.sources import fixtures as fx
 
@@ -19,8 +19,8 @@ def _run(spark, sf):
         "orders": fx.orders(spark, sf),
         "sales": fx.sales(spark, sf),
     }
-    out = scratch_path(spark, "pipeline")
-    return run_pipeline(spark, sources, out, fx.AS_OF, orders_table="orders_" + out.rsplit("-", 1)[-1])
+    out = scratch_path(spark, "retail_job")
+    return run_retail_job(spark, sources, out, fx.AS_OF, orders_table="orders_" + out.rsplit("-", 1)[-1])
 
 
 _VALID = ("valid", """
@@ -44,7 +44,7 @@ from valid v left join (
   from f_orders group by customer_id) s using (customer_id)""")
 
 
-@register("pipeline_customers", with_inputs(["f_customers_raw", "f_orders"], """
+@register("retail_job_customers", with_inputs(["f_customers_raw", "f_orders"], """
 select *, coalesce(days_since_last_activity between 0 and 30, false) as is_active,
           coalesce(days_since_last_activity between 31 and 90, false) as is_lapsing,
           coalesce(days_since_last_activity between 91 and 365, false) as is_churned,
@@ -53,17 +53,17 @@ from (select v.*, c.clv_segment as value_segment,
              cast(date_diff('day', v.last_activity, TIMESTAMP '2002-01-01 00:00:00') as integer)
                as days_since_last_activity
       from valid v left join clv c using (customer_id))""", ctes=[_VALID, _CLV]))
-def q_pipeline_customers(spark, sf):
+def q_retail_job_customers(spark, sf):
     return _run(spark, sf)["customers"]
 
 
-@register("pipeline_clv", with_inputs(["f_customers_raw", "f_orders"], "select * from clv", ctes=[_VALID, _CLV]))
-def q_pipeline_clv(spark, sf):
+@register("retail_job_clv", with_inputs(["f_customers_raw", "f_orders"], "select * from clv", ctes=[_VALID, _CLV]))
+def q_retail_job_clv(spark, sf):
     out = _run(spark, sf)["customer_lifetime_value"]
     return exact_means(round_cols(out, ["total_spend"]), {"avg_order_value": "order_count"})
 
 
-@register("pipeline_products", with_inputs(["f_products", "f_sales"], """
+@register("retail_job_products", with_inputs(["f_products", "f_sales"], """
 select p.product_id, p.name, p.category, s.units_sold, s.revenue, s.order_count,
        s.revenue / nullif(s.units_sold, 0) as avg_unit_price,
        rank() over (partition by p.category order by s.revenue desc, p.product_id) as revenue_rank
@@ -71,15 +71,15 @@ from f_products p
 join (select product_id, sum(quantity) as units_sold, round(sum(revenue), 2) as revenue,
              count(distinct order_id) as order_count
       from f_sales group by product_id) s using (product_id)"""))
-def q_pipeline_products(spark, sf):
+def q_retail_job_products(spark, sf):
     return _run(spark, sf)["products"]
 
 
-@register("pipeline_orders", with_inputs(["f_orders"], """
+@register("retail_job_orders", with_inputs(["f_orders"], """
 select *, date_diff('second', order_date, shipped_date) / 3600.0::double as processing_time_hours,
        coalesce(date_diff('second', order_date, shipped_date) / 3600.0::double <= promised_sla_hours, false)
          as sla_compliant,
        cast(year(order_date) as integer) as year, cast(month(order_date) as integer) as month
 from f_orders"""))
-def q_pipeline_orders(spark, sf):
+def q_retail_job_orders(spark, sf):
     return _run(spark, sf)["orders"]

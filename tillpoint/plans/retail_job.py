@@ -1,6 +1,6 @@
-"""The batch retail pipeline: extract → transform → enrich → load → export.
+"""The batch retail job: extract → transform → enrich → load → export.
 
-``run_pipeline`` is a function of frames: callers pass the source frames
+``run_retail_job`` is a function of frames: callers pass the source frames
 (any lazily scanned tables), an output folder on shared storage and the run
 date.  Stage order follows the original job:
 
@@ -41,7 +41,7 @@ WAREHOUSE_OPTIONS = {"maxStrLength": "4000", "batchSize": "100000"}
 ORDER_TABLE_PROPERTIES = {"change_feed": "true", "optimize_write": "true"}
 
 
-def run_pipeline(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str, as_of: dt.datetime,
+def run_retail_job(spark: SparkSession, sources: Mapping[str, DataFrame], out_dir: str, as_of: dt.datetime,
                  jdbc_url: str | None = None, database: str = "ecom_retail",
                  orders_table: str = "orders") -> dict[str, DataFrame]:
     as_of_col = C._lit_ts(as_of)
