@@ -55,6 +55,7 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default=None)
+    ap.add_argument("--partitions", type=int, default=8)
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
 
@@ -64,7 +65,7 @@ def main() -> int:
     from tillpoint.session import local_session
 
     load_all()
-    spark = local_session(8)
+    spark = local_session(8, shuffle_partitions=a.partitions)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{a.sf}/{t}.parquet"
