@@ -349,3 +349,18 @@ def test_split_window_functions_match_spark_windows(spark):
                                                                ("running_sum", "rs", "v")],
                              range_frame=True, partitions=parts)
         assert {r.id: (r.rk, r.dr, r.rs) for r in got_t.collect()} == want_t
+
+
+def test_merge_into_log_time_travel(spark):
+    from tillpoint.session import scratch_path
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    source = spark.createDataFrame([(2, "B"), (3, "C")], "k long, v string")
+    path = scratch_path(spark, "mlog")
+    H.merge_into_log(spark, path, target, "k", "2024-01-01 00:00:00")
+    latest = H.merge_into_log(spark, path, source, "k", "2024-01-02 00:00:00")
+    assert sorted((r.k, r.v) for r in latest.collect()) == [(1, "a"), (2, "B"), (3, "C")]
+    log = spark.read.parquet(path)
+    assert sorted((r.k, r.v) for r in H.latest_state(log, "k", version=1).collect()) == [(1, "a"), (2, "b")]
+    ops = {(r.k, r.version): r.op for r in log.collect()}
+    assert ops[(2, 2)] == "U" and ops[(3, 2)] == "I" and ops[(1, 1)] == "I"

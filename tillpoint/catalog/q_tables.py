@@ -188,6 +188,29 @@ def q_merge_upsert(spark, sf):
     return CUSTOMER_KEYED.merge(target, updates.unionByName(inserts))
 
 
+@register("merge_into_table", with_inputs(["f_customers_raw", "f_customers"], f"""
+select {_CUST} from f_customers
+where customer_id not in (select customer_id from src)
+union all
+select {_CUST} from src""", ctes=[("src", f"""
+    select {_CUST} from f_customers_raw where last_name like 'Relast%'
+    union all
+    select customer_id + 1000000000 as customer_id, first_name, last_name, email, loyalty_tier, updated_at
+    from f_customers where customer_id % 97 = 0""")]))
+def q_merge_into_table(spark, sf):
+    """The same upsert against a stored, versioned table: version 1 holds
+    the customers, the merge appends version 2, the latest state is read."""
+    cols = [c.strip() for c in _CUST.split(",")]
+    target = fx.customers(spark, sf).select(*cols)
+    raw = fx.customers_raw(spark, sf).select(*cols)
+    updates = raw.filter(F.col("last_name").startswith("Relast"))
+    inserts = target.filter(F.col("customer_id") % 97 == 0).withColumn(
+        "customer_id", F.col("customer_id") + 1000000000)
+    path = scratch_path(spark, "customer_log")
+    H.merge_into_log(spark, path, target, "customer_id", "2024-01-01 00:00:00")
+    return H.merge_into_log(spark, path, updates.unionByName(inserts), "customer_id", "2024-01-02 00:00:00")
+
+
 @register("retention_keep", with_inputs(["f_change_log"], f"""
 select l.* from f_change_log l
 left join (select order_id, max(version) as fl from f_change_log

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,3 +124,29 @@ def apply_change_feed(old: DataFrame, feed: DataFrame, key: str | Sequence[str])
     kept = old.join(touched, keys, "left_anti")
     added = feed.filter(F.col("_change_type").isin("insert", "update_postimage")).drop("_change_type")
     return kept.unionByName(added)
+
+
+def merge_into_log(spark, log_path: str, source: DataFrame, key: str | Sequence[str], commit_ts,
+                   version_col: str = "version", ts_col: str = "commit_ts", op_col: str = "op") -> DataFrame:
+    """MERGE into a stored, versioned table (a change log at ``log_path``).
+
+    The source rows are appended as the next version: 'U' for keys present
+    in the current state, 'I' for new ones (one join on the key against the
+    latest state).  Earlier versions stay readable with ``latest_state``
+    (time travel); the returned frame is the new latest state.  The append is
+    one write job into the version's own partition directory.
+    """
+    keys = _keys(key)
+    try:
+        log = spark.read.parquet(log_path)
+        current_version = log.agg(F.max(version_col)).collect()[0][0] or 0
+        present = latest_state(log, keys, version_col=version_col, ts_col=ts_col, op_col=op_col) \
+            .select(*keys).withColumn("_present", F.lit(True))
+        tagged = source.join(present, keys, "left")
+        op = F.when(F.col("_present"), F.lit("U")).otherwise(F.lit("I"))
+    except AnalysisException:                      # no table yet: everything is an insert
+        current_version, tagged, op = 0, source.withColumn("_present", F.lit(None)), F.lit("I")
+    rows = tagged.select(*keys, F.lit(current_version + 1).alias(version_col), _ts(commit_ts).alias(ts_col),
+                         op.alias(op_col), *[c for c in source.columns if c not in keys])
+    rows.write.mode("append").partitionBy(version_col).parquet(log_path)
+    return latest_state(spark.read.parquet(log_path), keys, version_col=version_col, ts_col=ts_col, op_col=op_col)
