@@ -51,7 +51,7 @@ def build_store_index(stores: DataFrame, leaf_capacity: int = 32, max_depth: int
     """
     n0 = int(math.ceil(360.0 / root_degrees))
     g0 = 360.0 / n0
-    active = stores.groupBy("store_lat", "store_lon").agg(F.min("store_id").alias("store_id"))
+    active = cut_lineage(stores.groupBy("store_lat", "store_lon").agg(F.min("store_id").alias("store_id")))
     node_parts, leaf_parts = [], []
     depth = 0
     for level in range(max_depth + 1):
@@ -61,10 +61,12 @@ def build_store_index(stores: DataFrame, leaf_capacity: int = 32, max_depth: int
         rep = F.struct("store_id", "store_lat", "store_lon")
         counts = cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("cnt"), F.min_by(rep, F.col("store_id")).alias("rep"))
         is_leaf = (F.col("cnt") <= leaf_capacity) | F.lit(level == max_depth)
-        counts = cut_lineage(counts.select(
+        # a grouped count over the checkpointed ``active`` frame: deterministic and
+        # cheap to recompute, so only ``active`` carries a lineage cut
+        counts = counts.select(
             F.lit(level).alias("l"), "cy", "cx", "cnt", is_leaf.alias("is_leaf"),
             F.col("rep.store_id").alias("rep_id"), F.col("rep.store_lat").alias("rep_lat"),
-            F.col("rep.store_lon").alias("rep_lon")))
+            F.col("rep.store_lon").alias("rep_lon"))
         node_parts.append(counts)
         tagged = cells.join(counts.select("cy", "cx", "is_leaf"), ["cy", "cx"])
         leaf_parts.append(tagged.filter("is_leaf").select(

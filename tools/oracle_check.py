@@ -56,6 +56,7 @@ def main() -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default=None)
     ap.add_argument("--partitions", type=int, default=8)
+    ap.add_argument("--tz", default="UTC")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
 
@@ -65,7 +66,7 @@ def main() -> int:
     from tillpoint.session import local_session
 
     load_all()
-    spark = local_session(8, shuffle_partitions=a.partitions)
+    spark = local_session(8, shuffle_partitions=a.partitions, extra={"spark.sql.session.timeZone": a.tz})
     con = duckdb.connect()
     for t in TABLES:
         p = f"{a.sf}/{t}.parquet"
