@@ -364,3 +364,23 @@ def test_merge_into_log_time_travel(spark):
     assert sorted((r.k, r.v) for r in H.latest_state(log, "k", version=1).collect()) == [(1, "a"), (2, "b")]
     ops = {(r.k, r.version): r.op for r in log.collect()}
     assert ops[(2, 2)] == "U" and ops[(3, 2)] == "I" and ops[(1, 1)] == "I"
+
+
+def test_split_window_moving_frames(spark):
+    from tillpoint.operators.sequencing import split_window
+
+    random.seed(21)
+    rows = [(0 if random.random() < 0.6 else random.randint(1, 15), i,
+             None if random.random() < 0.15 else float(random.randint(0, 9))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, id long, v double")
+    order = [F.col("id").asc()]
+    want = {}
+    for kk in (1, 2, 5):
+        fr = Window.partitionBy("k").orderBy("id").rowsBetween(-kk, 0)
+        want[kk] = {r.id: (r.s, r.c) for r in df.select("id", F.sum("v").over(fr).alias("s"),
+                                                          F.count("v").over(fr).alias("c")).collect()}
+    for parts in (3, 16, 40):
+        for kk in (1, 2, 5):
+            got = split_window(df, ["k"], order, [("moving_sum", "s", "v", kk), ("moving_count", "c", "v", kk)],
+                               partitions=parts)
+            assert {r.id: (r.s, r.c) for r in got.collect()} == want[kk]

@@ -33,11 +33,13 @@ from pyspark.sql import functions as F
 from tillpoint.session import cut_lineage
 
 
-# Supported per-row outputs of ``split_window`` (kind, output column, input column):
+# Supported per-row outputs of ``split_window`` (kind, output column, input column, k):
 #   row_number, rank, dense_rank             — positions in the group
 #   lag, lead                                — previous / next row's value (offset 1)
 #   running_sum, running_count               — over the frame (rows or the default range frame)
-SUPPORTED = ("row_number", "rank", "dense_rank", "lag", "lead", "running_sum", "running_count")
+#   moving_sum, moving_count                 — over rows between k preceding and the current row
+SUPPORTED = ("row_number", "rank", "dense_rank", "lag", "lead", "running_sum", "running_count",
+             "moving_sum", "moving_count")
 
 
 def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column], outputs,
@@ -50,8 +52,8 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     exact inside a partition and only additive carries (rows, distinct order
     values, sums, counts) and one boundary row cross partitions.
     """
-    outputs = [tuple(o) + (None,) * (3 - len(o)) for o in outputs]
-    for kind, _, _ in outputs:
+    outputs = [tuple(o) + (None,) * (4 - len(o)) for o in outputs]
+    for kind, _, _, _ in outputs:
         if kind not in SUPPORTED:
             raise ValueError(f"unsupported split-window function {kind!r}")
     key_struct = F.struct(*[F.col(k) for k in keys])
@@ -65,13 +67,17 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     wf = w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if range_frame else \
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("_pid", *keys)
-    kinds = {k for k, _, _ in outputs}
+    kinds = {k for k, _, _, _ in outputs}
     local = {"_lrn": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(whole)}
     if "rank" in kinds:
         local["_lrank"] = F.rank().over(w)
     local["_ldense"] = F.dense_rank().over(w) if "dense_rank" in kinds else F.lit(0)
-    for i, (kind, _, col) in enumerate(outputs):
-        if kind == "lag":
+    for i, (kind, _, col, k) in enumerate(outputs):
+        if kind in ("moving_sum", "moving_count"):
+            value = F.lit(1) if col in (None, "*") else F.col(col)
+            frame = w.rowsBetween(-int(k), Window.currentRow)
+            local[f"_o{i}"] = (F.sum(value) if kind == "moving_sum" else F.count(value)).over(frame)
+        elif kind == "lag":
             local[f"_o{i}"] = F.lag(col).over(w)
         elif kind == "lead":
             local[f"_o{i}"] = F.lead(col).over(w)
@@ -86,11 +92,18 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     s = cut_lineage(s.withColumns(local))
 
     # ---- per-partition summary: first and last group, carries of the last group
-    vcols = sorted({col for kind, _, col in outputs if kind in ("lag", "lead")})
+    vcols = sorted({col for kind, _, col, _ in outputs if kind in ("lag", "lead")})
     vals = F.struct(*[F.col(c).alias(c) for c in vcols]) if vcols else F.lit(None)
     tails = [F.max("_lcnt").alias("_c_cnt"), F.max("_ldense").alias("_c_dense"),
              F.max_by(vals, F.col("_lrn")).alias("_c_last")]
-    tails += [F.max(f"_t{i}").alias(f"_c{i}") for i, (k, _, _) in enumerate(outputs) if k.startswith("running")]
+    tails += [F.max(f"_t{i}").alias(f"_c{i}") for i, (k, _, _, _) in enumerate(outputs) if k.startswith("running")]
+    for i, (kind, _, col, k) in enumerate(outputs):
+        if kind.startswith("moving"):
+            # the last k rows of the tail group (at most k per partition)
+            value = F.lit(1) if col in (None, "*") else F.col(col)
+            last_k = F.collect_list(F.when(F.col("_lrn") > F.col("_lcnt") - int(k),
+                                           F.struct(F.col("_lrn").alias("r"), value.alias("v"))))
+            tails.append(F.transform(F.array_sort(last_k), lambda x: x["v"]).alias(f"_c{i}"))
     bounds = s.groupBy("_pid").agg(F.min(key_struct).alias("_first"), F.max(key_struct).alias("_last"))
     tail = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_last")))
             .groupBy("_pid").agg(*tails))
@@ -101,7 +114,13 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     other = summary.select(*[F.col(c).alias("q" + c) for c in summary.columns])
     carries = [F.sum("q_c_cnt").alias("_k_cnt"), F.sum("q_c_dense").alias("_k_dense"),
                F.max_by("q_c_last", "q_pid").alias("_k_last")]
-    carries += [F.sum(f"q_c{i}").alias(f"_k{i}") for i, (k, _, _) in enumerate(outputs) if k.startswith("running")]
+    carries += [F.sum(f"q_c{i}").alias(f"_k{i}") for i, (k, _, _, _) in enumerate(outputs) if k.startswith("running")]
+    for i, (kind, _, _, k) in enumerate(outputs):
+        if kind.startswith("moving"):
+            # earlier partitions' tails in partition order, flattened; the last k values count
+            parts = F.array_sort(F.collect_list(F.struct(F.col("q_pid").alias("p"), F.col(f"q_c{i}").alias("a"))))
+            flat = F.flatten(F.transform(parts, lambda x: x["a"]))
+            carries.append(F.slice(flat, F.greatest(F.size(flat) - int(k) + 1, F.lit(1)), int(k)).alias(f"_k{i}"))
     before = (me.join(other, F.col("q_last").eqNullSafe(F.col("_first")) & (F.col("q_pid") < F.col("_pid")))
               .groupBy("_pid").agg(*carries))
     after = (me.join(other, F.col("q_first").eqNullSafe(F.col("_last")) & (F.col("q_pid") > F.col("_pid")))
@@ -114,7 +133,7 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     cont_last = key_struct.eqNullSafe(F.col("_last")) & F.col("_k_next").isNotNull()
     carry = lambda c: F.when(cont_first, F.col(c)).otherwise(F.lit(0))
     cols = {}
-    for i, (kind, name, col) in enumerate(outputs):
+    for i, (kind, name, col, k) in enumerate(outputs):
         if kind == "row_number":
             cols[name] = F.col("_lrn") + carry("_k_cnt")
         elif kind == "rank":
@@ -126,12 +145,25 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
         elif kind == "lead":
             cols[name] = F.when(cont_last & (F.col("_lrn") == F.col("_lcnt")),
                                 F.col("_k_next")[col]).otherwise(F.col(f"_o{i}"))
+        elif kind.startswith("moving"):
+            need = F.lit(int(k)) - F.col("_lrn") + 1            # carried rows still inside the frame
+            carried = F.col(f"_k{i}")
+            sl = F.when(cont_first & (need > 0),
+                        F.slice(carried, F.greatest(F.size(carried) - need + 1, F.lit(1)), need))
+            nn = F.coalesce(F.size(F.filter(sl, lambda x: x.isNotNull())), F.lit(0))
+            if kind == "moving_count":
+                cols[name] = F.col(f"_o{i}") + nn
+            else:
+                zero = F.lit(0).cast(df.schema[col].dataType) if col not in (None, "*") else F.lit(0)
+                part = F.coalesce(F.aggregate(sl, zero, lambda acc, x: acc + F.coalesce(x, zero)), zero)
+                cols[name] = F.when(F.col(f"_o{i}").isNull() & (nn == 0), F.lit(None)).otherwise(
+                    F.coalesce(F.col(f"_o{i}"), zero) + part)
         else:
-            k = F.when(cont_first, F.col(f"_k{i}"))
-            cols[name] = F.when(F.col(f"_o{i}").isNull() & k.isNull(), F.lit(None)).otherwise(
-                F.coalesce(F.col(f"_o{i}"), F.lit(0)) + F.coalesce(k, F.lit(0)))
+            kk = F.when(cont_first, F.col(f"_k{i}"))
+            cols[name] = F.when(F.col(f"_o{i}").isNull() & kk.isNull(), F.lit(None)).otherwise(
+                F.coalesce(F.col(f"_o{i}"), F.lit(0)) + F.coalesce(kk, F.lit(0)))
     out = out.withColumns(cols)
-    keep = set(df.columns) | {name for _, name, _ in outputs}
+    keep = set(df.columns) | {name for _, name, _, _ in outputs}
     helper = [c for c in out.columns if c.startswith("_") and c not in keep]
     return out.drop(*helper)
 

@@ -12,8 +12,8 @@ Supported ``type`` values and their keys:
 * ``pivot``        — pivot_col, values (optional), group_by, aggregations
 * ``window``       — window_spec {partition_by, order_by, frame {start, end}},
   function (SQL text such as "rank()" or "sum(x)", or a Column), column_name,
-  skew_safe (default True: ranking, lag/lead and running sum/count are
-  computed split across hot partition keys)
+  skew_safe (default True: ranking, lag/lead and running or k-preceding
+  sum/count are computed split across hot partition keys)
 * ``udf``          — udf_name, function, input_cols, output_col, return_type
 * ``pandas_udf``   — pandas_udf_name, function, input_cols, output_col,
   return_type, function_type ("SCALAR" or "GROUPED_AGG"; a grouped
@@ -154,8 +154,12 @@ def _split_plan(t: Mapping):
         if not frame:
             return kind, col, True                     # default frame: range, unbounded → current
         start, end = _frame_bound(frame["start"]), _frame_bound(frame["end"])
+        rows = frame.get("kind", "rows") == "rows"
         if start == Window.unboundedPreceding and end == Window.currentRow:
-            return kind, col, frame.get("kind", "rows") == "range"
+            return kind, col, not rows
+        if rows and end == Window.currentRow and -1000 <= start <= 0:
+            # k preceding .. current row: carried values are at most k per partition
+            return kind.replace("running", "moving"), col, -start
     return None
 
 
@@ -166,10 +170,13 @@ def window(df: DataFrame, t: Mapping, **_) -> DataFrame:
     plan = _split_plan(t) if t.get("skew_safe", True) else None
     if plan is None:
         return df.withColumn(t["column_name"], _expr(t["function"]).over(window_spec(t["window_spec"])))
-    kind, col, range_frame = plan
+    kind, col, extra = plan
     spec = t["window_spec"]
     ordering = [_sort_col(o) for o in _as_list(spec["order_by"])]
-    out = (kind, t["column_name"], col) if col else (kind, t["column_name"])
+    if kind.startswith("moving"):
+        out, range_frame = (kind, t["column_name"], col, extra), False
+    else:
+        out, range_frame = (kind, t["column_name"], col), extra
     return split_window(df, _as_list(spec["partition_by"]), ordering, [out], range_frame=range_frame)
 
 
