@@ -245,12 +245,45 @@ STEPS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def _window_batches(transformations: Sequence[Mapping[str, Any]]):
+    """Group consecutive split-eligible window steps over the same partition
+    and order (and compatible frames) so they share one range split."""
+    out: list = []
+    for t in transformations:
+        plan = _split_plan(t) if t.get("type") == "window" and t.get("skew_safe", True) else None
+        if plan is not None:
+            spec = t["window_spec"]
+            sig = (tuple(_as_list(spec.get("partition_by"))), tuple(map(str, _as_list(spec.get("order_by")))))
+            range_flag = plan[2] if plan[0].startswith("running") else None
+            prev = out[-1] if out and isinstance(out[-1], dict) and out[-1].get("_batch") else None
+            if prev is not None and prev["sig"] == sig and (range_flag is None or prev["range"] in (None, range_flag)):
+                prev["steps"].append((t, plan))
+                prev["range"] = prev["range"] if range_flag is None else range_flag
+                continue
+            out.append({"_batch": True, "sig": sig, "range": range_flag, "steps": [(t, plan)]})
+        else:
+            out.append(t)
+    return out
+
+
+def _run_window_batch(df: DataFrame, batch) -> DataFrame:
+    first = batch["steps"][0][0]["window_spec"]
+    ordering = [_sort_col(o) for o in _as_list(first["order_by"])]
+    outputs = []
+    for t, (kind, col, extra) in batch["steps"]:
+        outputs.append((kind, t["column_name"], col, extra) if kind.startswith("moving") else (kind, t["column_name"], col))
+    return split_window(df, _as_list(first["partition_by"]), ordering, outputs, range_frame=bool(batch["range"]))
+
+
 def apply_transformations(df: DataFrame, transformations: Sequence[Mapping[str, Any]],
                           join_dfs: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Fold ``transformations`` over ``df`` in list order."""
-    def step(acc: DataFrame, t: Mapping[str, Any]) -> DataFrame:
+    """Fold ``transformations`` over ``df`` in list order (consecutive
+    split windows over the same partition and order share one range split)."""
+    def step(acc: DataFrame, t) -> DataFrame:
+        if isinstance(t, dict) and t.get("_batch"):
+            return _run_window_batch(acc, t)
         kind = t.get("type")
         if kind not in STEPS:
             raise ValueError(f"Unknown transformation type: {kind!r}")
         return STEPS[kind](acc, t, join_dfs=join_dfs)
-    return reduce(step, transformations, df)
+    return reduce(step, _window_batches(transformations), df)
