@@ -10,8 +10,6 @@ from tillpoint.operators.setops import except_distinct
 from tillpoint.sources import fixtures as fx
 
 SALT = "tillpoint-salt"
-CUSTOMER_COLS = ("customer_id, first_name, last_name, email, phone, registration_date, loyalty_tier, "
-                 "last_activity, updated_at, nation_key, account_balance, market_segment")
 
 
 # --------------------------------------------------------------------------- CLV
