@@ -384,3 +384,23 @@ def test_split_window_moving_frames(spark):
             got = split_window(df, ["k"], order, [("moving_sum", "s", "v", kk), ("moving_count", "c", "v", kk)],
                                partitions=parts)
             assert {r.id: (r.s, r.c) for r in got.collect()} == want[kk]
+
+
+def test_declarative_windows_split_equals_plain(spark):
+    random.seed(33)
+    rows = [(0 if random.random() < 0.5 else random.randint(1, 9), i, random.randint(0, 5), float(random.randint(0, 9)))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, id long, t long, v double")
+    spec = {"partition_by": "k", "order_by": ["t desc", "id"]}
+    steps = [
+        {"type": "window", "column_name": "rk", "function": "rank()", "window_spec": spec},
+        {"type": "window", "column_name": "prev", "function": "lag(v)", "window_spec": spec},
+        {"type": "window", "column_name": "run", "function": "sum(v)",
+         "window_spec": {**spec, "frame": {"start": "unboundedPreceding", "end": "currentRow"}}},
+        {"type": "window", "column_name": "mov", "function": "count(v)",
+         "window_spec": {**spec, "frame": {"start": -3, "end": 0}}},
+    ]
+    split = apply_transformations(df, steps)
+    plain = apply_transformations(df, [{**s, "skew_safe": False} for s in steps])
+    cols = ["id", "rk", "prev", "run", "mov"]
+    assert sorted(split.select(*cols).collect()) == sorted(plain.select(*cols).collect())
