@@ -31,7 +31,7 @@ GAMMA = 1.02
 MIN_GROUP = 200
 WINDOW = 5
 #: ratio -> (least distance to the quartile, spread below the median or None, spread above the median)
-FENCES = {"symbols_per_word": (0.02, None, 5.0), "dup_line_share": (0.05, None, 5.0), "mean_word_chars": (0.2, 8.0, 8.0)}
+FENCES = {"symbols_per_word": (0.02, None, 5.0), "dup_line_share": (0.08, None, 5.0), "mean_word_chars": (0.25, 10.0, 10.0)}
 TINY = -1_000_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
