@@ -42,9 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and the piece ids of every document; ``decodes`` tells that the ids give the text back."""
     coder = pieces.SentencePiece(spark)
-    coded = docs.select("doc_id", "source", "text", coder.encode(F.col("text")).alias("token_ids"))
-    return coded.select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
-                        (coder.decode(F.col("token_ids")) == F.translate("text", pieces.SPACE, " ")).alias("decodes"))
+    coded = docs.select("doc_id", "source", coder.encode_verified(F.col("text")).alias("c"))
+    return coded.select("doc_id", "source", F.size("c.token_ids").cast("long").alias("n_tokens"), "c.token_ids", "c.decodes")
 
 
 STAGES = [

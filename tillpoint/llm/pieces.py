@@ -114,6 +114,7 @@ class PieceModel:
         self.unk_surface = spec[44].decode() if 44 in spec else " ⁇ "
         self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.ids = {p: i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == NORMAL and p}
+        self.sizes = [len(p) for p in self.pieces]
         self.unk_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         self._automaton(memo)
         self._decoder()
@@ -163,21 +164,24 @@ class PieceModel:
         """The BPE pass for a text whose every character is a piece: ``back[e]`` is the one admitted last
         piece of text[:e].  None if a character is no piece."""
         n = len(text)
-        back, sizes = [-1] * (n + 1), [0] * (n + 1)
-        pairs, alone, count = self.pairs, self.alone, len(self.pieces)
-        for e, (i, size) in self.find.iter(text):   # output links: all pieces that end at e
+        back = [-1] * (n + 1)
+        pairs, alone, count, sizes = self.pairs, self.alone, len(self.pieces), self.sizes
+        for e, (i, size) in self.find.iter(text):   # output links: all pieces that end at e, longest first
             e += 1
             if back[e] < 0:
-                start = e - size
-                last = back[start]
-                if alone[i] if not start else last >= 0 and pairs[last * count + i]:
-                    back[e], sizes[e] = i, size
+                if e == size:
+                    if alone[i]:
+                        back[e] = i
+                else:
+                    last = back[e - size]
+                    if last >= 0 and pairs[last * count + i]:
+                        back[e] = i
         path = []
         while n:
             if back[n] < 0:
                 return None
             path.append(back[n])
-            n -= sizes[n]
+            n -= sizes[back[n]]
         return path[::-1]
 
     def viterbi(self, text: str) -> list[tuple[int, int]]:
@@ -352,6 +356,19 @@ class SentencePiece:
 
         return encode(text.cast("string"))
 
+    def encode_verified(self, text: Column) -> Column:
+        """struct(token_ids array<int>, decodes boolean): the ids, and whether decoding them gives the text back
+        (U+2581 is the format's own space and comes back as one)."""
+        shared = self.shared
+
+        def encode(texts: pd.Series) -> pd.DataFrame:
+            model = _model(shared)
+            ids = [None if t is None else model.encode(t) for t in texts]
+            same = [None if t is None else model.decode(i) == t.replace(SPACE, " ") for t, i in zip(texts, ids)]
+            return pd.DataFrame({"token_ids": pd.Series(ids, dtype=object), "decodes": pd.Series(same, dtype=object)})
+
+        return F.pandas_udf(encode, "token_ids array<int>, decodes boolean")(text.cast("string"))
+
     def decode(self, ids: Column) -> Column:
         shared = self.shared
 

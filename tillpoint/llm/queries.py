@@ -85,9 +85,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coder = pieces.SentencePiece(spark)
-    coded = docs.select("doc_id", "text", coder.encode(F.col("text")).alias("token_ids"))
-    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
-                        (coder.decode(F.col("token_ids")) == F.translate("text", pieces.SPACE, " ")).alias("decodes"))
+    coded = docs.select("doc_id", coder.encode_verified(F.col("text")).alias("c"))
+    return coded.select("doc_id", F.size("c.token_ids").cast("long").alias("n_tokens"), "c.token_ids", "c.decodes")
 
 
 @register("op6_line_dedup", """
