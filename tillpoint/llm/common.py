@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let at most ``rows`` rows go to a Python worker at once (for the session): texts may be long."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(conf)) <= rows:
+        spark.conf.set(conf, str(rows))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Working-column names that no column of ``df`` has (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

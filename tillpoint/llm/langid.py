@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import text_of, unit_hash
+from tillpoint.llm.common import text_batches, text_of, unit_hash
 
 FEATURES = 1 << 14
 SAMPLE = 2000
@@ -150,6 +150,7 @@ def identify(docs: DataFrame, train: Column, keep: dict, text_col: str = "text",
     Defined results: a null language teaches nothing; without any labelled row every text is ``und``; repeated rows
     are predicted alike; an empty table gives an empty table; no other column is looked at.
     """
+    text_batches(docs.sparkSession)
     model = fit(docs.filter(train), text_col, lang_col, **options)
     predict = predictor(docs.sparkSession, model)
     made = predict(F.col(f"`{text_col}`"))

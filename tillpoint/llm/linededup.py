@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import SPACES, UPPER, fresh, literal, text_of, without
+from tillpoint.llm.common import SPACES, UPPER, fresh, literal, text_batches, text_of, without
 from tillpoint.session import cut_lineage
 
 MIN_DOCS = 10
@@ -258,6 +258,7 @@ def drop_common_lines(docs: DataFrame, state: LineState, id_col: str = "doc_id")
     that share it only share the list of their common keys, which is a property of
     the corpus, so even a collision of hashes changes no result.
     """
+    text_batches(docs.sparkSession)
     docs = without(docs, "n_lines", "n_dropped")
     rk, hit, made = fresh(docs, "rk", "rk_hit", "made")
     row_key = F.xxhash64(F.col(f"`{id_col}`"), text_of(docs, state.text_col))

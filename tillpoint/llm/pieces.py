@@ -31,12 +31,14 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tillpoint.llm.common import text_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Piece types and model types of the file format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MEMO = 300_000
+MEMO = 200_000
 
 
 def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -113,7 +115,9 @@ class PieceModel:
         self.unk = self.types.index(UNKNOWN)
         self.unk_surface = spec[44].decode() if 44 in spec else " ⁇ "
         self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
-        self.ids = {p: i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == NORMAL and p}
+        # inside, a plain space stands for the format's space symbol: most texts then stay one byte a character
+        self.words = [p.replace(SPACE, " ") for p in self.pieces]
+        self.ids = {p: i for i, (p, t) in enumerate(zip(self.words, self.types)) if t == NORMAL and p}
         self.sizes = [len(p) for p in self.pieces]
         self.unk_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         self._automaton(memo)
@@ -132,15 +136,15 @@ class PieceModel:
         ties = sorted(p for ps in tied.values() if len(ps) > 1 for p in ps)
         shortest = [p for p in ties if not any(q != p and q in p for q in ties)]
         self.tie = re.compile("|".join(map(re.escape, shortest))).search if ties else lambda text: None
-        alphabet = {c for p in self.ids if len(p) > 1 for c in p} - {SPACE}
-        crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        alphabet = {c for p in self.ids if len(p) > 1 for c in p} - {" "}
+        crossing = any(" " in p.lstrip(" ") for p in self.ids)
         if crossing:
             self.split = re.compile(r"(?s).+")
         else:
             own = "".join(re.escape(c) for c in sorted(alphabet))
-            self.split = re.compile(f"(?s){SPACE}+[{own}]*|[{own}]+|." if own else "(?s).")
+            self.split = re.compile(f"(?s) +[{own}]*|[{own}]+|." if own else "(?s).")
         self.pairs = _Memo(self._pair, 4 * memo)   # by first id * number of pieces + second id
-        self.alone = _Memo(lambda i: self.merge(self.pieces[i]) == [i], len(self.pieces) + 1)
+        self.alone = _Memo(lambda i: self.merge(self.words[i]) == [i], len(self.pieces) + 1)
         self.memo = _Memo(self._chunk, memo)
 
     def merge(self, text: str) -> list[int | str]:
@@ -158,7 +162,7 @@ class PieceModel:
 
     def _pair(self, pair: int) -> bool:
         one, two = divmod(pair, len(self.pieces))
-        return self.merge(self.pieces[one] + self.pieces[two]) == [one, two]
+        return self.merge(self.words[one] + self.words[two]) == [one, two]
 
     def admitted(self, text: str) -> list[int] | None:
         """The BPE pass for a text whose every character is a piece: ``back[e]`` is the one admitted last
@@ -287,17 +291,17 @@ class PieceModel:
 
     def _lone(self, char: str) -> list[int]:
         if self.byte_fallback:
-            return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
+            return [self.bytes[b] for b in (SPACE if char == " " else char).encode("utf-8", "surrogatepass")]
         return [self.unk]
 
     def encode(self, text: str) -> np.ndarray:
+        text = text.replace(SPACE, " ")
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
         if not text:
             return np.zeros(0, np.int32)
-        text = text.replace(" ", SPACE)
         if self.dummy_prefix:
-            text = SPACE + text
+            text = " " + text
         ids = np.frombuffer(b"".join(map(self.memo.__getitem__, self.split.findall(text))), np.int32)
         if not self.byte_fallback and len(ids) > 1:   # a run of unknown characters is one unknown piece
             ids = ids[~((ids == self.unk) & np.concatenate(([False], ids[:-1] == self.unk)))]
@@ -305,7 +309,7 @@ class PieceModel:
 
     def _decoder(self) -> None:
         shown = []
-        for p, t in zip(self.pieces, self.types):
+        for p, t in zip(self.words, self.types):
             if t == BYTE:
                 shown.append(bytes([int(p[3:5], 16)]))
             elif t == CONTROL:
@@ -313,7 +317,7 @@ class PieceModel:
             elif t == UNKNOWN:
                 shown.append(self.unk_surface.encode())
             else:
-                shown.append(p.replace(SPACE, " ").encode())
+                shown.append(p.encode())
         self.shown = np.array(shown, object)
 
     def decode(self, ids) -> str:
@@ -342,6 +346,7 @@ class SentencePiece:
     def __init__(self, spark: SparkSession, path: str = MODEL):
         with open(path, "rb") as f:
             blob = f.read()
+        text_batches(spark)
         PieceModel(blob, 16)   # an unsupported file fails here, not in a task
         self.shared = spark.sparkContext.broadcast((hash(blob), blob))
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import fresh, text_of
+from tillpoint.llm.common import fresh, text_batches, text_of
 from tillpoint.session import cut_lineage
 
 GAMMA = 1.02
@@ -80,6 +80,7 @@ def _measure_texts(text: pd.Series) -> pd.DataFrame:
 
 def measure(docs: DataFrame, keep: dict, text_col: str = "text") -> DataFrame:
     """The columns ``keep`` ({name: column}), the counts of ``MEASURES`` and base_failed, per row."""
+    text_batches(docs.sparkSession)
     m, = fresh(docs, "m")
     rows = docs.withColumn(m, F.pandas_udf(_measure_texts, MEASURES)(text_of(docs, text_col))).select(*[c.alias(n) for n, c in keep.items()], f"{m}.*")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import fresh, literal, unit_hash, without
 from tillpoint.session import cut_lineage
 
-RANGE_BYTES = 256 << 20
+RANGE_BYTES = 64 << 20
 
 
 def record_size(text: Column) -> Column:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import fresh, text_of
+from tillpoint.llm.common import fresh, text_batches, text_of
 from tillpoint.llm.components import connected_components
 from tillpoint.session import cut_lineage
 
@@ -101,6 +101,7 @@ def links(prints: DataFrame, radius: int = RADIUS, small_bucket: int = SMALL_BUC
 
 def _labelled(docs: DataFrame, keep: dict, id_col: str, text_col: str, radius: int, shingle: int) -> DataFrame:
     """Per row: the columns ``keep``, fp, label (a fingerprint of the component) and component_id."""
+    text_batches(docs.sparkSession)
     fp_col = fingerprint_udf(shingle)(text_of(docs, text_col))
     rows = cut_lineage(docs.select(*[c.alias(n) for n, c in keep.items()], F.col(f"`{id_col}`").alias("id"), fp_col.alias("fp")))
     reps = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("id")))
