@@ -94,9 +94,9 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     walk = best.select("c", F.col("node").alias("leaf"), "rank", "node")
     for k, jump in enumerate(steps[:-1]):
         j = jump.toDF("jc", "jn", "anc")
-        further = walk.join(j, _same(walk, "c", "node", j, "jc", "jn")).select("c", "leaf", "rank", F.col("anc").alias("node"))
-        walk = walk.union(further)
-        if k % 3 == 2:   # the union doubles the plan: cut it now and then
+        both = F.filter(F.array("node", "anc"), lambda n: n.isNotNull())
+        walk = walk.join(j, _same(walk, "c", "node", j, "jc", "jn"), "left").select("c", "leaf", "rank", F.explode(both).alias("node"))
+        if k % 3 == 2:
             walk = cut_lineage(walk)
     return walk.join(depths, _same(walk, "c", "node", depths, "dc", "dn")).select("c", "leaf", "rank", "node", "depth")
 
