@@ -90,7 +90,7 @@ def test_stream_matches_batch_and_drops_late_rows(spark):
     def run(distinct, out, ck):
         s = CS.events_as_clickstream(spark.readStream.schema(schema).option("recursiveFileLookup", "true")
                                      .parquet(inbox))
-        CS.run_to_parquet(CS.clickstream_aggregates(s, distinct=distinct), out, ck)
+        CS.run_to_parquet(CS.clickstream_aggregates(s, distinct=distinct, output_mode="append"), out, ck)
         return sorted(tuple(r) for r in CS.flatten_window(spark.read.parquet(out)).collect())
 
     out1, ck1 = CS.scratch(spark, "s1")

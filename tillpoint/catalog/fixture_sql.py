@@ -66,9 +66,9 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
                                else total_amount end as total_amount)
         from f_orders"""),
     "f_campaigns": ((), """
-        select cast(n_nationkey as bigint) as campaign_id, n_name as campaign_name,
+        select cast(case when n_nationkey < 10 then n_nationkey else n_nationkey + 100 end as bigint) as campaign_id, n_name as campaign_name,
                cast(n_nationkey * 1000 as double) as cost
-        from nation where n_nationkey < 10"""),
+        from nation"""),
     "f_change_log": ((), """
         select o_orderkey as order_id, 1 as version, TIMESTAMP '2024-01-01 00:00:00' as commit_ts, 'I' as op,
                o_totalprice / 1000.0 as total_amount, o_orderstatus as order_status, o_custkey as customer_id
@@ -86,11 +86,11 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
                p_partkey % 5 <> 0 as in_stock
         from part"""),
     "f_categories": ((), """
-        select p_size as category_id, 'Cat' || p_size as category_name,
+        select case when p_size <= 45 then p_size else p_size + 100 end as category_id, 'Cat' || p_size as category_name,
                'L1-' || (p_size % 3) as category_level1,
                'L2-' || (p_size % 7) as category_level2,
                case when p_size % 4 = 0 then null else 'L3-' || p_size end as category_level3
-        from (select distinct p_size from part where p_size <= 45)"""),
+        from (select distinct p_size from part)"""),
     "f_inventory": ((), """
         select p_partkey as product_id, p_partkey % 60 as current_stock from part"""),
     "f_sales": ((), """

@@ -55,11 +55,11 @@ def q_dynamic_pricing(spark, sf):
 
 
 @register("product_performance", with_inputs(["f_products", "f_sales"], """
-select p.product_id, p.name, p.category, s.units_sold, s.revenue, s.order_count,
-       s.revenue / nullif(s.units_sold, 0) as avg_unit_price,
-       rank() over (partition by p.category order by s.revenue desc, p.product_id) as revenue_rank
+select p.product_id, p.name, p.category, coalesce(s.units_sold, 0) as units_sold, coalesce(s.revenue, 0) as revenue,
+       coalesce(s.order_count, 0) as order_count, s.revenue / nullif(s.units_sold, 0) as avg_unit_price,
+       rank() over (partition by p.category order by coalesce(s.revenue, 0) desc, p.product_id) as revenue_rank
 from f_products p
-join (select product_id, sum(quantity) as units_sold, round(sum(revenue), 2) as revenue,
+left join (select product_id, sum(quantity) as units_sold, round(sum(revenue), 2) as revenue,
              count(distinct order_id) as order_count
       from f_sales group by product_id) s using (product_id)"""))
 def q_product_performance(spark, sf):

@@ -34,19 +34,33 @@ where window_end <= (select max(event_time) from f_clickstream) - interval 5 min
 
 def _append_run(spark, sf, distinct: str):
     out, ckpt = CS.scratch(spark, f"clickstream_{distinct}")
-    result = CS.clickstream_aggregates(_events_stream(spark, sf), distinct=distinct)
+    result = CS.clickstream_aggregates(_events_stream(spark, sf), distinct=distinct, output_mode="append")
     CS.run_to_parquet(result, out, ckpt)
     return CS.flatten_window(spark.read.parquet(out))
 
 
 @register("clickstream_append", _APPEND)
 def q_clickstream_append(spark, sf):
-    return _append_run(spark, sf, "set")
+    return _append_run(spark, sf, "chained")
 
 
 @register("clickstream_distinct_chained", _APPEND)
 def q_clickstream_chained(spark, sf):
-    return _append_run(spark, sf, "chained")
+    """The chained aggregate over two files' worth of micro-batches."""
+    out, ckpt = CS.scratch(spark, "clickstream_chained")
+    inbox = f"{out}_inbox"
+    fx.table(spark, sf, "events").repartition(2, "event_id").write.mode("overwrite").parquet(inbox)
+    stream = _events_stream(spark, inbox, "*.parquet", max_files=2)
+    CS.run_to_parquet(CS.clickstream_aggregates(stream, distinct="chained", output_mode="append"), out, ckpt)
+    return CS.flatten_window(spark.read.parquet(out))
+
+
+@register("clickstream_update", with_inputs(["f_clickstream"], "select * from windows", ctes=[("windows", _WINDOWS)]))
+def q_clickstream_update(spark, sf):
+    """Update mode: the last state of every group."""
+    out, ckpt = CS.scratch(spark, "clickstream_update")
+    CS.run_update_to_table(CS.clickstream_aggregates(_events_stream(spark, sf), distinct="set"), out, ckpt)
+    return CS.latest_updates(spark.read.parquet(out), ["window_start", "window_end", "user_id", "page_category"])
 
 
 @register("clickstream_distinct_approx")
@@ -77,12 +91,12 @@ def q_clickstream_late(spark, sf):
         return CS.events_as_clickstream(
             spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(inbox))
 
-    CS.run_to_parquet(CS.clickstream_aggregates(stream(), distinct="chained"), base_out, ckpt)
+    CS.run_to_parquet(CS.clickstream_aggregates(stream(), distinct="chained", output_mode="append"), base_out, ckpt)
     # every event of the first hour, re-sent after the stream has moved on
     first_hour = events.agg(F.min("ts")).scalar() + F.make_dt_interval(F.lit(0), F.lit(1))
     late = events.filter(F.col("ts") < first_hour)
     late.write.mode("overwrite").parquet(f"{inbox}/batch=2")
-    CS.run_to_parquet(CS.clickstream_aggregates(stream(), distinct="chained"), base_out, ckpt)
+    CS.run_to_parquet(CS.clickstream_aggregates(stream(), distinct="chained", output_mode="append"), base_out, ckpt)
     return CS.flatten_window(spark.read.parquet(base_out))
 
 

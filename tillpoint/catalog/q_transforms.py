@@ -90,7 +90,7 @@ def q_t_join_theta(spark, sf):
     """Band (non-equi) join against a dimension whose size is bounded by the
     nation table; Spark plans it as a broadcast nested-loop join."""
     return apply_transformations(_orders(spark, sf), [
-        {"type": "join", "join_with": "campaigns", "join_type": "inner",
+        {"type": "join", "join_with": "campaigns", "join_type": "inner", "allow_cross": True,
          "condition": "l.total_amount * 10 >= r.cost and l.total_amount * 10 < r.cost + 1000"}],
         join_dfs={"campaigns": _campaigns_r(spark, sf)})
 

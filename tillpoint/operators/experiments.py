@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.functions.stats import chi2_sf
+from tillpoint.functions.stats import chi2_sf, safe_div
 
 
 def contingency(df: DataFrame, variant_col: str = "variant", success_col: str = "converted") -> DataFrame:
@@ -41,14 +41,15 @@ def chi_square_test(df: DataFrame, variant_col: str = "variant", success_col: st
     def term(observed, expected):
         diff = F.abs(observed - expected)
         shift = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(F.lit(0.0)) if correction else F.lit(0.0)
-        return F.pow(diff - shift, 2) / expected
+        return safe_div(F.pow(diff - shift, 2), expected)
 
     cells = t.select(
         dof.alias("dof"), k.alias("k"),
         (term(F.col("success"), F.col("total") * s_all / n)
          + term(F.col("total") - F.col("success"), F.col("total") * (n - s_all) / n)).alias("term"))
     stat = cells.groupBy().agg(
-        F.sum("term").alias("chi_square"),
+        # no successes, or no failures: an expected count of zero and no statistic
+        F.when(F.count("term") == F.count(F.lit(1)), F.sum("term")).alias("chi_square"),
         F.max("dof").cast("int").alias("dof"),
         F.max("k").cast("int").alias("n_variants"),
     )

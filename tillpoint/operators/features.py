@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.functions.stats import safe_div
 from tillpoint.operators.customers import _lit_ts
 
 
@@ -22,8 +23,9 @@ def time_features(df: DataFrame, time_col: str) -> DataFrame:
 
 def customer_order_features(customers: DataFrame, orders: DataFrame, as_of, churn_days: int = 365) -> DataFrame:
     """Per customer: order count, spend, average order, tenure, recency,
-    account balance and ``is_churned`` (no order for ``churn_days``).
-    Orders are aggregated before the join."""
+    account balance and ``is_churned`` (no order for ``churn_days``).  A
+    customer without orders has zero counts, sums and tenure, no recency, and
+    is churned.  Orders are aggregated before the join."""
     stats = orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("total_amount").alias("total_spend"),
@@ -32,15 +34,18 @@ def customer_order_features(customers: DataFrame, orders: DataFrame, as_of, chur
         F.datediff(_lit_ts(as_of), F.max("order_date")).alias("days_since_last_order"),
     )
     out = customers.select("customer_id", "account_balance", "market_segment", "loyalty_tier").join(
-        stats, "customer_id", "inner")
-    return out.withColumn("is_churned", F.col("days_since_last_order") > churn_days)
+        stats, "customer_id", "left")
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("order_count", "total_spend", "avg_order_value", "tenure_days")}
+    return out.withColumns(zero).withColumn(
+        "is_churned", F.coalesce(F.col("days_since_last_order") > churn_days, F.lit(True)))
 
 
 def standardize(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
     """(x − mean) / sample stddev for each column, from one aggregate pass
-    (a scalar subquery of means and deviations, no join)."""
+    (a scalar subquery of means and deviations, no join); NULL for a
+    constant column."""
     stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c)
                               for c in cols]).alias("st")).scalar()
     st = F.col("_st")                                  # one subquery, referenced by column
     return df.withColumn("_st", stats).withColumns(
-        {f"{c}{suffix}": (F.col(c) - st[c]["m"]) / st[c]["s"] for c in cols}).drop("_st")
+        {f"{c}{suffix}": safe_div(F.col(c) - st[c]["m"], st[c]["s"]) for c in cols}).drop("_st")

@@ -63,7 +63,7 @@ def arima111_params(series: DataFrame, key: str = "product_id", time_col: str =
     lg = cut_lineage(_lagged(series, key, time_col, value_col).withColumns(
         {"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"), "d2": F.col("y2") - F.col("y3")}))
     # stage 1: AR(1) on differences without intercept (per-series sums)
-    a = lg.groupBy(key).agg((F.sum(F.col("d") * F.col("d1")) / F.sum(F.col("d1") * F.col("d1"))).alias("a"))
+    a = lg.groupBy(key).agg(F.try_divide(F.sum(F.col("d") * F.col("d1")), F.sum(F.col("d1") * F.col("d1"))).alias("a"))
     lg = lg.join(a, key).withColumn("e1", F.col("d1") - F.col("a") * F.col("d2"))
     ok = F.col("d").isNotNull() & F.col("d1").isNotNull() & F.col("e1").isNotNull()
 
@@ -92,13 +92,14 @@ def arima111_params(series: DataFrame, key: str = "product_id", time_col: str =
         F.max_by("u", "t").alias("last_resid"),
     )
     n = F.col("n_resid")
-    aic = n * F.log(F.col("sse") / n) + n * F.lit(1.0 + math.log(2 * math.pi)) + F.lit(6.0)
+    sigma2 = F.try_divide(F.col("sse"), n)             # NULL for a constant or too short series
+    aic = n * F.log(sigma2) + n * F.lit(1.0 + math.log(2 * math.pi)) + F.lit(6.0)
     enough = F.col("n_points") >= min_points
     return g.select(
         key, "n_points",
         F.when(enough, F.col("phi")).alias("phi"),
         F.when(enough, F.col("theta")).alias("theta"),
-        F.when(enough, F.col("sse") / n).alias("sigma2"),
+        F.when(enough, sigma2).alias("sigma2"),
         F.when(enough, aic).alias("aic"),
         "last_value", "last_diff", "last_resid",
     )

@@ -32,16 +32,17 @@ def _ts(v) -> Column:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
-                 check_unique: bool = False) -> DataFrame:
+                 check_unique: bool = True) -> DataFrame:
     """MERGE: matched → source row, not matched → insert, target-only kept.
 
     ``target ⟕anti source ∪ source``: one shuffle join on the key.  A NULL
-    key never matches, so such source rows are inserted.  With
-    ``check_unique`` the source keys are verified first (one aggregate job).
+    key never matches, so such source rows are inserted.  The source keys are
+    verified first (one aggregate job); ``check_unique=False`` is for sources
+    known to be unique.
     """
     keys = _keys(key)
     if check_unique:
-        if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
+        if not source.dropna(subset=keys).groupBy(*keys).count().filter("count > 1").isEmpty():
             raise ValueError("merge source has duplicate keys")
     kept = target.join(source.select(*keys).filter(
         " and ".join(f"`{k}` is not null" for k in keys)), keys, "left_anti")
@@ -139,12 +140,17 @@ def merge_into_log(spark, log_path: str, source: DataFrame, key: str | Sequence[
     keys = _keys(key)
     try:
         log = spark.read.parquet(log_path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        log = None
+    if log is not None:
         current_version = log.agg(F.max(version_col)).collect()[0][0] or 0
         present = latest_state(log, keys, version_col=version_col, ts_col=ts_col, op_col=op_col) \
             .select(*keys).withColumn("_present", F.lit(True))
         tagged = source.join(present, keys, "left")
         op = F.when(F.col("_present"), F.lit("U")).otherwise(F.lit("I"))
-    except AnalysisException:                      # no table yet: everything is an insert
+    else:                                          # no table yet: everything is an insert
         current_version, tagged, op = 0, source.withColumn("_present", F.lit(None)), F.lit("I")
     rows = tagged.select(*keys, F.lit(current_version + 1).alias(version_col), _ts(commit_ts).alias(ts_col),
                          op.alias(op_col), *[c for c in source.columns if c not in keys])

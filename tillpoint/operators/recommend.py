@@ -34,12 +34,22 @@ def _frequent_pairs(lines: DataFrame, min_support: float, order_col: str, item_c
     freq = items.groupBy("i").agg(F.count(F.lit(1)).alias("n_i")).filter(F.col("n_i") >= F.lit(min_count))
     # |freq| <= (distinct items per basket on average) / min_support
     kept = cut_lineage(items.join(freq, "i"))          # self-joined below: materialise once
-    a = kept.select("o", F.col("i").alias("a"), F.col("n_i").alias("n_a"))
-    b = kept.select("o", F.col("i").alias("b"), F.col("n_i").alias("n_b"))
-    pairs = (a.join(b, "o").filter(F.col("a") != F.col("b"))
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"),
-                                    F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")))
-    return pairs, n_orders, min_count
+    half = _half_pairs(kept.select("o", "i")).join(freq.toDF("a", "n_a"), "a").join(freq.toDF("b", "n_b"), "b")
+    return _mirrored(half), n_orders, min_count
+
+
+def _half_pairs(items: DataFrame) -> DataFrame:
+    """(a, b, n_ab) with a < b: each pair of an order is counted once."""
+    a, b = items.select("o", F.col("i").alias("a")), items.select("o", F.col("i").alias("b"))
+    return a.join(b, "o").filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"))
+
+
+def _mirrored(half: DataFrame) -> DataFrame:
+    """Both directions of counted pairs (columns that end in _a and _b swap)."""
+    cols = half.columns
+    swap = {"a": "b", "b": "a", "n_a": "n_b", "n_b": "n_a"}
+    return half.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("turned")).select(
+        *[F.when(F.col("turned"), F.col(swap[c])).otherwise(F.col(c)).alias(c) if c in swap else F.col(c) for c in cols])
 
 
 def pair_rules(lines: DataFrame, min_support: float = 0.01, min_confidence: float = 0.5,
@@ -55,11 +65,13 @@ def pair_rules(lines: DataFrame, min_support: float = 0.01, min_confidence: floa
             .filter(F.col("confidence") >= min_confidence))
 
 
-def copurchase_topn(lines: DataFrame, n: int = 5, min_support: float = 0.01,
+def copurchase_topn(lines: DataFrame, n: int = 5,
                     order_col: str = "order_id", item_col: str = "product_id") -> DataFrame:
-    """For each frequent item, the ``n`` frequent items most often bought in
-    the same order (ties by item), with the co-purchase count."""
-    pairs, _, _ = _frequent_pairs(lines, min_support, order_col, item_col)
+    """For each item, the ``n`` items most often bought in the same order
+    (ties by item), with the co-purchase count.  Every item counts, however
+    rare; the work follows the squares of the orders' distinct items."""
+    items = cut_lineage(lines.select(F.col(order_col).alias("o"), F.col(item_col).alias("i")).distinct())
+    pairs = _mirrored(_half_pairs(items))
     w = Window.partitionBy("a").orderBy(F.col("n_ab").desc(), F.col("b"))
     return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
             .select(F.col("a").alias("item"), F.col("b").alias("co_item"),

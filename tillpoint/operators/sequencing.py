@@ -68,6 +68,11 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("_pid", *keys)
     kinds = {k for k, _, _, _ in outputs}
+
+    def total_type(col):
+        """The type that sum() gives for the column: carries are added and returned in it."""
+        return df.select(F.sum(F.lit(1) if col in (None, "*") else F.col(col)).alias("s")).schema["s"].dataType
+
     local = {"_lrn": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(whole)}
     if "rank" in kinds:
         local["_lrank"] = F.rank().over(w)
@@ -75,6 +80,8 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     for i, (kind, _, col, k) in enumerate(outputs):
         if kind in ("moving_sum", "moving_count"):
             value = F.lit(1) if col in (None, "*") else F.col(col)
+            if kind == "moving_sum":
+                value = value.cast(total_type(col))
             frame = w.rowsBetween(-int(k), Window.currentRow)
             local[f"_o{i}"] = (F.sum(value) if kind == "moving_sum" else F.count(value)).over(frame)
         elif kind == "lag":
@@ -101,6 +108,7 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
         if kind.startswith("moving"):
             # the last k rows of the tail group (at most k per partition)
             value = F.lit(1) if col in (None, "*") else F.col(col)
+            value = value.cast(total_type(col)) if kind == "moving_sum" else value
             last_k = F.collect_list(F.when(F.col("_lrn") > F.col("_lcnt") - int(k),
                                            F.struct(F.col("_lrn").alias("r"), value.alias("v"))))
             tails.append(F.transform(F.array_sort(last_k), lambda x: x["v"]).alias(f"_c{i}"))
@@ -110,22 +118,32 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     head = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_first")))
             .groupBy("_pid").agg(F.min_by(vals, F.col("_lrn")).alias("_h_first")))
     summary = bounds.join(tail, "_pid").join(head, "_pid")       # one row per range partition
-    me = summary.select("_pid", "_first", "_last")
-    other = summary.select(*[F.col(c).alias("q" + c) for c in summary.columns])
-    carries = [F.sum("q_c_cnt").alias("_k_cnt"), F.sum("q_c_dense").alias("_k_dense"),
-               F.max_by("q_c_last", "q_pid").alias("_k_last")]
-    carries += [F.sum(f"q_c{i}").alias(f"_k{i}") for i, (k, _, _, _) in enumerate(outputs) if k.startswith("running")]
+    # A partition's tail serves later partitions that start with its last key, its head serves earlier
+    # ones that end with its first key.  Each partition gives one row and asks with another, per key in
+    # partition order; a running window hands the carries on (no pairing of partitions).
+    nothing = [F.lit(None).cast(summary.schema[c].dataType).alias(c) for c in summary.columns if c.startswith("_c")]
+    given = [c for c in summary.columns if c.startswith("_c")]
+    gives = summary.select("_pid", F.col("_last").alias("_key"), F.lit(True).alias("_gives"), *given)
+    asks = summary.select("_pid", F.col("_first").alias("_key"), F.lit(False).alias("_gives"), *nothing)
+    past = Window.partitionBy("_key").orderBy("_pid", "_gives").rowsBetween(Window.unboundedPreceding, -1)
+    carries = [F.sum("_c_cnt").over(past).alias("_k_cnt"), F.sum("_c_dense").over(past).alias("_k_dense"),
+               F.last("_c_last", ignorenulls=True).over(past).alias("_k_last")]
     for i, (kind, _, _, k) in enumerate(outputs):
-        if kind.startswith("moving"):
-            # earlier partitions' tails in partition order, flattened; the last k values count
-            parts = F.array_sort(F.collect_list(F.struct(F.col("q_pid").alias("p"), F.col(f"q_c{i}").alias("a"))))
-            flat = F.flatten(F.transform(parts, lambda x: x["a"]))
+        if kind.startswith("running"):
+            carries.append(F.sum(f"_c{i}").over(past).alias(f"_k{i}"))
+        elif kind.startswith("moving"):
+            # every tail holds a row at least, so the last k rows lie in the last k tails (every second row)
+            near = Window.partitionBy("_key").orderBy("_pid", "_gives").rowsBetween(-2 * max(1, int(k)), -1)
+            flat = F.flatten(F.collect_list(f"_c{i}").over(near))
             carries.append(F.slice(flat, F.greatest(F.size(flat) - int(k) + 1, F.lit(1)), int(k)).alias(f"_k{i}"))
-    before = (me.join(other, F.col("q_last").eqNullSafe(F.col("_first")) & (F.col("q_pid") < F.col("_pid")))
-              .groupBy("_pid").agg(*carries))
-    after = (me.join(other, F.col("q_first").eqNullSafe(F.col("_last")) & (F.col("q_pid") > F.col("_pid")))
-             .groupBy("_pid").agg(F.min_by("q_h_first", "q_pid").alias("_k_next")))
-    fix = me.join(before, "_pid", "left").join(after, "_pid", "left")
+    before = gives.union(asks).select("_pid", "_gives", *carries).filter(~F.col("_gives")).drop("_gives")
+    no_head = F.lit(None).cast(summary.schema["_h_first"].dataType).alias("_h_first")
+    heads = summary.select("_pid", F.col("_first").alias("_key"), F.lit(True).alias("_gives"), "_h_first").union(
+        summary.select("_pid", F.col("_last").alias("_key"), F.lit(False).alias("_gives"), no_head))
+    ahead = Window.partitionBy("_key").orderBy(F.col("_pid").desc(), F.col("_gives").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = heads.select("_pid", "_gives", F.last("_h_first", ignorenulls=True).over(ahead).alias("_k_next")) \
+        .filter(~F.col("_gives")).drop("_gives")
+    fix = summary.select("_pid", "_first", "_last").join(before, "_pid", "left").join(after, "_pid", "left")
 
     # ---- apply: the first group may continue earlier partitions, the last one later ones
     out = s.join(F.broadcast(fix), "_pid", "left")
@@ -154,14 +172,16 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
             if kind == "moving_count":
                 cols[name] = F.col(f"_o{i}") + nn
             else:
-                zero = F.lit(0).cast(df.schema[col].dataType) if col not in (None, "*") else F.lit(0)
-                part = F.coalesce(F.aggregate(sl, zero, lambda acc, x: acc + F.coalesce(x, zero)), zero)
+                kind_of = total_type(col)
+                zero = F.lit(0).cast(kind_of)
+                part = F.coalesce(F.aggregate(sl, zero, lambda acc, x: (acc + F.coalesce(x, zero)).cast(kind_of)), zero)  # noqa: B023
                 cols[name] = F.when(F.col(f"_o{i}").isNull() & (nn == 0), F.lit(None)).otherwise(
-                    F.coalesce(F.col(f"_o{i}"), zero) + part)
+                    F.coalesce(F.col(f"_o{i}").cast(kind_of), zero) + part).cast(kind_of)
         else:
             kk = F.when(cont_first, F.col(f"_k{i}"))
             cols[name] = F.when(F.col(f"_o{i}").isNull() & kk.isNull(), F.lit(None)).otherwise(
-                F.coalesce(F.col(f"_o{i}"), F.lit(0)) + F.coalesce(kk, F.lit(0)))
+                F.coalesce(F.col(f"_o{i}"), F.lit(0)) + F.coalesce(kk, F.lit(0))).cast(
+                    total_type(col) if kind == "running_sum" else "bigint")
     out = out.withColumns(cols)
     keep = set(df.columns) | {name for _, name, _, _ in outputs}
     helper = [c for c in out.columns if c.startswith("_") and c not in keep]

@@ -101,6 +101,13 @@ def filter_rows(df: DataFrame, t: Mapping, **_) -> DataFrame:
     return df.filter(_expr(t["condition"]))
 
 
+def _has_equality(cond) -> bool:
+    """Does the condition compare a column of one side with one of the other for equality?"""
+    name = r"(?:([A-Za-z_]\w*)\.)?(`[^`]+`|[A-Za-z_]\w*)"
+    found = re.findall(rf"(?<![\w.<>!]){name}\s*(?:<=>|==|=)\s*{name}(?![\w(])", cond or "")
+    return any((a, x) != (b, y) and (a != b or not a) for a, x, b, y in found)
+
+
 def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = None, **_) -> DataFrame:
     name = t["join_with"]
     if not join_dfs or name not in join_dfs:
@@ -109,10 +116,10 @@ def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = N
     other = join_dfs[name]
     cond = t.get("condition")
     left, right = df.alias("l"), other.alias("r")
+    if (how == "cross" or not _has_equality(cond)) and not t.get("allow_cross", False):
+        # without an equality every pair of rows is looked at: output may grow with the product of both inputs
+        raise ValueError("a join without an equality needs allow_cross=True in its step")
     if how == "cross" or not cond:
-        # every pair of rows: output grows with the product of both inputs
-        if not t.get("allow_cross", False):
-            raise ValueError("cross joins are refused unless the step sets allow_cross=True")
         return left.crossJoin(right) if not cond else left.join(right, on=_expr(cond), how="cross")
     return left.join(right, on=_expr(cond), how=how)
 
@@ -157,8 +164,8 @@ def _split_plan(t: Mapping):
         rows = frame.get("kind", "rows") == "rows"
         if start == Window.unboundedPreceding and end == Window.currentRow:
             return kind, col, not rows
-        if rows and end == Window.currentRow and -1000 <= start <= 0:
-            # k preceding .. current row: carried values are at most k per partition
+        if rows and end == Window.currentRow and Window.unboundedPreceding < start <= 0:
+            # k preceding .. current row: every range carries its last k values
             return kind.replace("running", "moving"), col, -start
     return None
 
@@ -170,14 +177,7 @@ def window(df: DataFrame, t: Mapping, **_) -> DataFrame:
     plan = _split_plan(t) if t.get("skew_safe", True) else None
     if plan is None:
         return df.withColumn(t["column_name"], _expr(t["function"]).over(window_spec(t["window_spec"])))
-    kind, col, extra = plan
-    spec = t["window_spec"]
-    ordering = [_sort_col(o) for o in _as_list(spec["order_by"])]
-    if kind.startswith("moving"):
-        out, range_frame = (kind, t["column_name"], col, extra), False
-    else:
-        out, range_frame = (kind, t["column_name"], col), extra
-    return split_window(df, _as_list(spec["partition_by"]), ordering, [out], range_frame=range_frame)
+    return _run_window_batch(df, {"steps": [(t, plan)], "range": plan[2] if plan[0].startswith("running") else None})
 
 
 def _udf_args(t: Mapping) -> list[Column]:
@@ -272,7 +272,11 @@ def _run_window_batch(df: DataFrame, batch) -> DataFrame:
     outputs = []
     for t, (kind, col, extra) in batch["steps"]:
         outputs.append((kind, t["column_name"], col, extra) if kind.startswith("moving") else (kind, t["column_name"], col))
-    return split_window(df, _as_list(first["partition_by"]), ordering, outputs, range_frame=bool(batch["range"]))
+    # a step's type must not depend on how it is run: that of the plain window
+    plain = df.select(*[_expr(t["function"]).over(window_spec(t["window_spec"])).alias(t["column_name"])
+                        for t, _ in batch["steps"]]).schema
+    out = split_window(df, _as_list(first["partition_by"]), ordering, outputs, range_frame=bool(batch["range"]))
+    return out.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in plain})
 
 
 def apply_transformations(df: DataFrame, transformations: Sequence[Mapping[str, Any]],

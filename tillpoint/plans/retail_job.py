@@ -55,8 +55,8 @@ def run_retail_job(spark: SparkSession, sources: Mapping[str, DataFrame], out_di
     invalid = tagged.filter(~F.col("is_valid")).drop("is_valid")
     # rejected rows land in this run's partition; a re-run of the same date
     # replaces that partition instead of appending the rows twice
-    K.write_table(invalid.withColumn("run_date", F.lit(as_of.date() if isinstance(as_of, dt.datetime) else as_of)),
-                  f"{out_dir}/staging/invalid_customers", "overwrite", partition_by=["run_date"],
+    rejected = invalid.withColumn("run_date", F.lit(as_of.date() if isinstance(as_of, dt.datetime) else as_of))
+    K.write_table(rejected, f"{out_dir}/staging/invalid_customers", "overwrite", partition_by=["run_date"],
                   dynamic_partitions=True)
     orders_t = O.order_timelines(orders).withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
 
@@ -82,10 +82,14 @@ def run_retail_job(spark: SparkSession, sources: Mapping[str, DataFrame], out_di
         J.write_jdbc(performance, jdbc_url, "dim_products", "overwrite", WAREHOUSE_OPTIONS)
         J.write_jdbc(orders_t, jdbc_url, "fact_orders", "append", WAREHOUSE_OPTIONS)
 
+    def back(df: DataFrame, path: str) -> DataFrame:
+        # with the written schema: a table without rows has no file to infer one from
+        return spark.read.schema(df.schema).parquet(f"{out_dir}/{path}")
+
     return {
-        "customers": spark.read.parquet(f"{out_dir}/processed/customers"),
-        "products": spark.read.parquet(f"{out_dir}/processed/products"),
+        "customers": back(segmented, "processed/customers"),
+        "products": back(performance, "processed/products"),
         "orders": spark.table(orders_table),
-        "customer_lifetime_value": spark.read.parquet(f"{out_dir}/processed/customer_lifetime_value"),
-        "invalid_customers": spark.read.parquet(f"{out_dir}/staging/invalid_customers"),
+        "customer_lifetime_value": back(clv, "processed/customer_lifetime_value"),
+        "invalid_customers": back(rejected, "staging/invalid_customers"),
     }

@@ -47,14 +47,17 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables, shared by all executors.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (single-machine runs, tests) a private temporary folder is created and
-    registered, so that later calls and ``DataFrame.checkpoint`` agree.
+    on a local master (single-machine runs, tests) a private temporary folder
+    is created and registered, so that later calls and
+    ``DataFrame.checkpoint`` agree; on a cluster that raises.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not d and jdir.isDefined():
         d = jdir.get()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if not jdir.isDefined():

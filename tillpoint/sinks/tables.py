@@ -25,6 +25,14 @@ def _existing_schema(spark: SparkSession, path: str, fmt: str):
         return None
 
 
+def _shape(schema, partition_by: Sequence[str] | None):
+    """Data columns with their types, in order, and partition columns by name (their types are
+    inferred from directory names when a table is read)."""
+    keys = set(partition_by or [])
+    return [(f.name, f.dataType) for f in schema.fields if f.name not in keys], sorted(
+        f.name for f in schema.fields if f.name in keys)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
                 fmt: str = "parquet", overwrite_schema: bool = False, dynamic_partitions: bool = False,
                 compact_files: int | None = None, options: Mapping[str, str] | None = None) -> None:
@@ -43,8 +51,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     spark = df.sparkSession
     if mode == "overwrite" and not overwrite_schema:
         old = _existing_schema(spark, path, fmt)
-        if old is not None and [(f.name, f.dataType) for f in old.fields] != \
-                [(f.name, f.dataType) for f in df.schema.fields] and not partition_by:
+        if old is not None and _shape(old, partition_by) != _shape(df.schema, partition_by):
             raise ValueError("schema differs from the existing table; pass overwrite_schema=True")
     if compact_files:
         cols = list(partition_by or [])
@@ -53,8 +60,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if mode == "overwrite":   # whatever the session says: a partition without rows in ``df`` must not survive
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic_partitions else "static")
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path)
