@@ -11,13 +11,14 @@ from tillpoint.operators.ranking import global_ntile
 
 
 def rfm_base(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
-    """Per customer with an e-mail on file: recency (days), frequency, monetary."""
-    joined = orders.join(customers.select("customer_id", "email"), "customer_id")
-    return joined.groupBy("customer_id").agg(
+    """Per known customer: recency (days), frequency, monetary."""
+    per_customer = orders.groupBy("customer_id").agg(
         F.datediff(_lit_ts(as_of), F.max("order_date")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
         F.round(F.sum("total_amount"), 6).alias("monetary"),
     )
+    # one row per customer meets the customers, not one per order
+    return per_customer.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def rfm_scores(customers: DataFrame, orders: DataFrame, as_of, buckets: int = 5) -> DataFrame:
