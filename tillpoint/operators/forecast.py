@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.operators.sequencing import sequence_within_groups
-from tillpoint.session import cut_lineage
 
 CLIP = 0.99
 
@@ -50,47 +49,43 @@ def _lagged(series: DataFrame, key: str, time_col: str, value_col: str, depth: i
                                  [key], [time_col], rn_col="t")
     fan = seq.select(key, F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("j"), "t", "y") \
         .select(key, (F.col("t") + F.col("j")).alias("t"), "j", "y")
-    n_per_key = seq.groupBy(key).agg(F.max("t").alias("_n"))
-    lagged = fan.groupBy(key, "t").agg(*[F.max(F.when(F.col("j") == i, F.col("y"))).alias(f"y{i}")
-                                         for i in range(depth + 1)])
-    # drop the positions past the end of each series (only lags landed there)
-    return lagged.join(n_per_key, key).filter(F.col("t") <= F.col("_n")).drop("_n")
+    lagged = fan.groupBy(key, "t").agg(*[F.max(F.when(F.col("j") == i, F.col("y"))).alias(f"y{i}") for i in range(depth + 1)],
+                                       F.min("j").alias("_own"))
+    # past the end of a series only lags land
+    return lagged.filter(F.col("_own") == 0).drop("_own")
 
 
 def arima111_params(series: DataFrame, key: str = "product_id", time_col: str = "date",
                     value_col: str = "sales", min_points: int = 8) -> DataFrame:
-    # read by three aggregates and two joins below: materialise once
-    lg = cut_lineage(_lagged(series, key, time_col, value_col).withColumns(
-        {"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"), "d2": F.col("y2") - F.col("y3")}))
-    # stage 1: AR(1) on differences without intercept (per-series sums)
-    a = lg.groupBy(key).agg(F.try_divide(F.sum(F.col("d") * F.col("d1")), F.sum(F.col("d1") * F.col("d1"))).alias("a"))
-    lg = lg.join(a, key).withColumn("e1", F.col("d1") - F.col("a") * F.col("d2"))
-    ok = F.col("d").isNotNull() & F.col("d1").isNotNull() & F.col("e1").isNotNull()
-
-    def ssum(expr):
-        return F.sum(F.when(ok, expr))
-    # stage 2: least squares of d on (d1, e1) through the 2x2 normal equations
-    st = lg.groupBy(key).agg(
-        ssum(F.col("d1") * F.col("d1")).alias("sxx"), ssum(F.col("e1") * F.col("e1")).alias("see"),
-        ssum(F.col("d1") * F.col("e1")).alias("sxe"), ssum(F.col("d1") * F.col("d")).alias("sxd"),
-        ssum(F.col("e1") * F.col("d")).alias("sed"))
-    det = F.col("sxx") * F.col("see") - F.col("sxe") * F.col("sxe")
-    st = st.select(
-        key,
-        _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)).alias("phi"),
-        _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det)).alias("theta"))
-    lg = lg.join(st, key).withColumn(
-        "u", F.when(ok, F.col("d") - F.col("phi") * F.col("d1") - F.col("theta") * F.col("e1")))
+    lg = _lagged(series, key, time_col, value_col).withColumns(
+        {"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"), "d2": F.col("y2") - F.col("y3")})
+
+    def products(x, y, rows=None):
+        return F.sum(F.col(x) * F.col(y) if rows is None else F.when(rows, F.col(x) * F.col(y)))
+
+    # Both least-squares stages, the residual sum and the last residual are polynomials in the estimates
+    # over these sums, so one aggregate per series is all that meets the data.
+    ok = F.col("d2").isNotNull()
     g = lg.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.first("phi").alias("phi"),
-        F.first("theta").alias("theta"),
-        F.sum(F.col("u") * F.col("u")).alias("sse"),
-        F.count("u").alias("n_resid"),
-        F.max_by("y0", "t").alias("last_value"),
-        F.max_by("d", "t").alias("last_diff"),
-        F.max_by("u", "t").alias("last_resid"),
-    )
+        F.count(F.lit(1)).alias("n_points"), products("d", "d1").alias("a_num"), products("d1", "d1").alias("a_den"),
+        *[products(x, y, ok).alias(f"s_{x}_{y}") for x, y in (("d", "d"), ("d", "d1"), ("d", "d2"), ("d1", "d1"), ("d1", "d2"), ("d2", "d2"))],
+        F.count(F.when(ok, F.lit(1))).alias("n_resid"), F.max_by(F.struct("y0", "d", "d1", "d2"), "t").alias("end"))
+    a = F.col("a")
+    g = g.withColumn("a", F.try_divide("a_num", "a_den"))          # AR(1) on the differences; NULL for a constant series
+    g = g.withColumns({                                            # e1 = d1 - a * d2, the lagged residual of that fit
+        "sxx": F.col("s_d1_d1"), "sxd": F.col("s_d_d1"),
+        "see": F.col("s_d1_d1") - 2 * a * F.col("s_d1_d2") + a * a * F.col("s_d2_d2"),
+        "sxe": F.col("s_d1_d1") - a * F.col("s_d1_d2"), "sed": F.col("s_d_d1") - a * F.col("s_d_d2")})
+    det = F.col("sxx") * F.col("see") - F.col("sxe") * F.col("sxe")
+    g = g.withColumns({
+        "phi": _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)),
+        "theta": _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det))})
+    phi, theta = F.col("phi"), F.col("theta")
+    sse = (F.col("s_d_d") + phi * phi * F.col("sxx") + theta * theta * F.col("see") - 2 * phi * F.col("sxd")
+           - 2 * theta * F.col("sed") + 2 * phi * theta * F.col("sxe"))
+    resid = F.col("end.d") - phi * F.col("end.d1") - theta * (F.col("end.d1") - a * F.col("end.d2"))
+    g = g.withColumns({"sse": F.greatest(sse, F.lit(0.0)), "last_value": F.col("end.y0"), "last_diff": F.col("end.d"),
+                       "last_resid": F.when(F.col("end.d2").isNotNull(), resid)})
     n = F.col("n_resid")
     sigma2 = F.try_divide(F.col("sse"), n)             # NULL for a constant or too short series
     aic = n * F.log(sigma2) + n * F.lit(1.0 + math.log(2 * math.pi)) + F.lit(6.0)
