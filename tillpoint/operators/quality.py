@@ -14,23 +14,23 @@ Every check yields rows of one schema::
 * referential — non-NULL keys without a match in a reference frame (anti
   join); threshold is a fraction (default 0).
 
-An empty input passes every check with 0 %.  Each check is a single pass:
-completeness is one aggregate over all columns, uniqueness one grouped
-aggregate whose totals come from the same groups.
+An empty input passes every check with 0 %.  All completeness and consistency
+rules of a run share one scan (``check_rows``); uniqueness is one grouped
+aggregate per rule, whose totals come from the same groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ["check_name", "check_type", "column_name", "violations", "total",
                   "percentage", "threshold", "passed"]
 
 
-def _finish(df: DataFrame, name: str, kind: str, threshold: float, fraction: bool) -> DataFrame:
+def _finish(df: DataFrame, name, kind, threshold, fraction: bool) -> DataFrame:
     pct = F.coalesce(F.try_divide(F.col("violations") * 100.0, F.col("total")), F.lit(0.0))
     ratio = F.coalesce(F.try_divide(F.col("violations").cast("double"), F.col("total")), F.lit(0.0))
     passed = (ratio <= threshold) if fraction else (pct <= threshold)
@@ -38,7 +38,7 @@ def _finish(df: DataFrame, name: str, kind: str, threshold: float, fraction: boo
         F.lit(name).alias("check_name"), F.lit(kind).alias("check_type"),
         F.col("column_name").cast("string"),
         F.col("violations").cast("long"), F.col("total").cast("long"),
-        pct.alias("percentage"), F.lit(float(threshold)).alias("threshold"), passed.alias("passed"))
+        pct.alias("percentage"), (threshold if isinstance(threshold, Column) else F.lit(float(threshold))).alias("threshold"), passed.alias("passed"))
 
 
 def check_completeness(df: DataFrame, name: str, columns, threshold: float) -> DataFrame:
@@ -75,17 +75,34 @@ def check_referential(df: DataFrame, name: str, column: str, ref: DataFrame, ref
     return _finish(agg.withColumn("column_name", F.lit(column)), name, "referential", threshold, fraction=True)
 
 
+ROW_WISE = ("completeness", "consistency")
+
+
+def check_rows(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
+    """All completeness and consistency rules from one scan: one aggregate counts every rule's violations."""
+    found = []
+    for name, rule in rules.items():
+        if rule["type"] == "completeness":
+            found += [(name, rule, c, F.col(c).isNull()) for c in rule["columns"]]
+        elif rule["type"] == "consistency":
+            found.append((name, rule, None, ~F.coalesce(F.expr(rule["condition"]), F.lit(False))))
+    counts = df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(bad).alias(f"_v{i}") for i, (*_, bad) in enumerate(found)])
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_v{i}").alias("violations"), F.lit(c).cast("string").alias("column_name"),
+                              F.lit(name).alias("name"), F.lit(rule["type"]).alias("kind"),
+                              F.lit(float(rule.get("threshold", 0.0))).alias("limit")) for i, (name, rule, c, _) in enumerate(found)])
+    long = counts.select("total", F.explode(each).alias("e")).select("total", "e.*")
+    return _finish(long, F.col("name"), F.col("kind"), F.col("limit"), fraction=True)
+
+
 def run_checks(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
     """All rules as one result frame (union of the per-check rows)."""
-    parts = []
+    parts = [check_rows(df, rules)] if any(r["type"] in ROW_WISE for r in rules.values()) else []
     for name, rule in rules.items():
         kind = rule["type"]
-        if kind == "completeness":
-            parts.append(check_completeness(df, name, rule["columns"], rule["threshold"]))
-        elif kind == "uniqueness":
+        if kind in ROW_WISE:
+            continue
+        if kind == "uniqueness":
             parts.append(check_uniqueness(df, name, rule["columns"], rule["threshold"]))
-        elif kind == "consistency":
-            parts.append(check_consistency(df, name, rule["condition"], rule.get("threshold", 0.0)))
         elif kind == "referential":
             parts.append(check_referential(df, name, rule["column"], rule["ref_df"], rule["ref_column"],
                                            rule.get("threshold", 0.0)))

@@ -111,7 +111,7 @@ def _has_equality(cond) -> bool:
 def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = None, **_) -> DataFrame:
     name = t["join_with"]
     if not join_dfs or name not in join_dfs:
-        raise ValueError(f"Join DataFrame '{name}' not found in provided join_dfs")
+        raise ValueError(f"no frame named {name!r} was given to join with")
     how = t.get("join_type", "inner")
     other = join_dfs[name]
     cond = t.get("condition")

@@ -41,7 +41,7 @@ def write_options(df: DataFrame, url: str, table: str, options: Mapping[str, str
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
                options: Mapping[str, str] | None = None) -> None:
     if mode not in ("overwrite", "append"):
-        raise ValueError(f"Unsupported write mode: {mode}")
+        raise ValueError(f"write mode {mode!r} is not known")
     df.write.format("jdbc").options(**write_options(df, url, table, options)).mode(mode).save()
 
 

@@ -47,7 +47,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
       (repartition by the partition columns; AQE sizes the rest).
     """
     if mode not in WRITE_MODES:
-        raise ValueError(f"Unsupported write mode: {mode}")
+        raise ValueError(f"mode {mode!r} is none of {sorted(WRITE_MODES)}")
     spark = df.sparkSession
     if mode == "overwrite" and not overwrite_schema:
         old = _existing_schema(spark, path, fmt)
