@@ -69,13 +69,14 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     a null node raises, as repeated nodes and circles do.
     """
     base = cut_lineage(nodes.select("c", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")))
-    if not base.filter("node is null").isEmpty() or not base.groupBy("c", "node").count().filter("count > 1").isEmpty():
+    per_node = base.groupBy("c", "node").agg(F.count("*").alias("n"))
+    most, twice, nameless = per_node.agg(F.sum("n"), F.count_if(F.col("n") > 1), F.count_if(F.col("node").isNull())).first()
+    if twice or nameless:
         raise ValueError("nodes must be unique and not null in their conversation")
     ids = base.select(F.col("c").alias("pc"), F.col("node").alias("pn"))
     step = base.join(ids, _same(base, "c", "parent", ids, "pc", "pn"), "left")
     moving = cut_lineage(step.select("c", "node", F.col("pn").alias("anc"), F.col("score").alias("total"),
                                      F.when(F.col("pn").isNull(), 0).otherwise(1).alias("depth")))
-    most = base.count()
     steps, settled = [], []   # step k leads 2^k nodes up; a node settles once its steps reach the root
     while True:
         settled.append(moving.filter("anc is null"))

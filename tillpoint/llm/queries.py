@@ -67,18 +67,18 @@ c(source, k, p, cum) as (
   select c.source, k + 1, p * (rate / draws) / (k + 1), cum + p * (rate / draws) / (k + 1)
   from c join m on c.source is not distinct from m.source where k < 80),
 cdf as (select source, list(cum) as cums from c group by source),
-u as (select doc_id, d.source, rate, coalesce(doc_id::varchar, '') || ':' || md5(text) as who, unnest(range(1, draws + 1)) as part
+u as (select doc_id, d.source, rate, strlen(text)::bigint as n_bytes, coalesce(doc_id::varchar, '') || ':' || md5(text) as who, unnest(range(1, draws + 1)) as part
       from d join m on d.source is not distinct from m.source),
-x as (select doc_id, u.source, rate, who, part,
+x as (select doc_id, u.source, rate, n_bytes, who, part,
              len(list_filter(cums, lambda z: z <= ('0x' || substr(md5('11:' || part::varchar || ':' || who), 1, 13))::bigint::double / 4503599627370496.0)) as n
       from u join cdf on u.source is not distinct from cdf.source),
-t as (select doc_id, source, rate, who, sum(n)::int as n_copies, count(*) as parts from x group by all)
-select doc_id, source, rate, n_copies, unnest(range(1, n_copies + 1))::int as copy, strlen(who) > 0 as drawn from t where n_copies > 0
+t as (select doc_id, source, rate, n_bytes, who, sum(n)::int as n_copies from x group by all)
+select doc_id, source, rate, n_copies, unnest(range(1, n_copies + 1))::int as copy, n_bytes from t where n_copies > 0
 """)
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    # the texts travel in the shuffle: drawn looks at them afterwards
-    return mixed.select("doc_id", "source", "rate", "n_copies", F.col("copy"), (F.length(text_of(mixed, "text")) >= 0).alias("drawn"))
+    # measured on the shuffled copies, so the texts travel
+    return mixed.select("doc_id", "source", "rate", "n_copies", "copy", F.octet_length(text_of(mixed, "text")).cast("long").alias("n_bytes"))
 
 
 @register("op5_sentencepiece")
