@@ -16,7 +16,6 @@ assistant's texts.
 
 from __future__ import annotations
 
-import functools
 import re
 
 import pandas as pd
@@ -75,32 +74,27 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
         raise ValueError("nodes must be unique and not null in their conversation")
     ids = base.select(F.col("c").alias("pc"), F.col("node").alias("pn"))
     step = base.join(ids, _same(base, "c", "parent", ids, "pc", "pn"), "left")
-    moving = cut_lineage(step.select("c", "node", F.col("pn").alias("anc"), F.col("score").alias("total"),
-                                     F.when(F.col("pn").isNull(), 0).otherwise(1).alias("depth")))
-    steps, settled = [], []   # step k leads 2^k nodes up; a node settles once its steps reach the root
-    while True:
-        settled.append(moving.filter("anc is null"))
-        moving = moving.filter("anc is not null")
-        if moving.isEmpty():
-            break
+    state = cut_lineage(step.select("c", "node", F.col("pn").alias("anc"), F.col("score").alias("total"),
+                                    F.when(F.col("pn").isNull(), 0).otherwise(1).alias("depth")))
+    steps = []   # step k leads 2^k nodes up; a node settles once its steps reach the root
+    while not (moving := state.filter("anc is not null")).isEmpty():
         if 2 ** len(steps) > most:
             raise ValueError("the replies run in a circle")
         steps.append(moving.select("c", "node", "anc"))
-        every = functools.reduce(DataFrame.union, settled, moving)
-        up = every.toDF("uc", "un", "u_anc", "u_total", "u_depth")
-        moving = cut_lineage(moving.join(up, _same(moving, "c", "anc", up, "uc", "un")).select(
+        up = state.toDF("uc", "un", "u_anc", "u_total", "u_depth")
+        moved = moving.join(up, _same(moving, "c", "anc", up, "uc", "un")).select(
             "c", "node", F.col("u_anc").alias("anc"), (F.col("total") + F.col("u_total")).alias("total"),
-            (F.col("depth") + F.col("u_depth")).alias("depth")))
-    state = functools.reduce(DataFrame.union, settled)
+            (F.col("depth") + F.col("u_depth")).alias("depth"))
+        state = cut_lineage(state.filter("anc is null").union(moved))
     parents = base.filter("parent is not null").select(F.col("c").alias("lc"), F.col("parent").alias("ln")).distinct()
     leaves = state.join(parents, _same(state, "c", "node", parents, "lc", "ln"), "left_anti")
     order = Window.partitionBy("c").orderBy((F.col("total") / (F.col("depth") + 1)).desc(), "node")
     best = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    found = [cut_lineage(best.select("c", F.col("node").alias("leaf"), "rank", "node"))]
+    walk = cut_lineage(best.select("c", F.col("node").alias("leaf"), "rank", "node"))
     for jump in steps:   # what is found reaches 2^k nodes up; its 2^k-th ancestors double that
-        walk, j = functools.reduce(DataFrame.union, found), jump.toDF("jc", "jn", "anc")
-        found.append(cut_lineage(walk.join(j, _same(walk, "c", "node", j, "jc", "jn")).select("c", "leaf", "rank", F.col("anc").alias("node"))))
-    walk = functools.reduce(DataFrame.union, found)
+        j = jump.toDF("jc", "jn", "anc")
+        further = walk.join(j, _same(walk, "c", "node", j, "jc", "jn")).select("c", "leaf", "rank", F.col("anc").alias("node"))
+        walk = cut_lineage(walk.union(further))
     depths = state.select(F.col("c").alias("dc"), F.col("node").alias("dn"), "depth")
     return walk.join(depths, _same(walk, "c", "node", depths, "dc", "dn")).select("c", "leaf", "rank", "node", "depth")
 
