@@ -1,7 +1,11 @@
 """Nearest neighbours by an adaptive dimension scan over inverted lists.
 
 Index (fitted on a bounded sample of ``sample_rows`` rows): k-means centres and a
-random rotation.  Every row is put in the list of its nearest centre; lists are
+random rotation.  Equal vectors are as far from any query as each other, and ties
+go to the smaller id, so of a group of copies only the k + 1 smallest ids can be
+among the k nearest of anyone (the query may be one of them): the group enters
+the index as these, and a vector that a third of all rows share costs no more
+than another.  Every vector is put in the list of its nearest centre; lists are
 cut into tiles of about ``tile_rows`` rows, each one row of the index holding the
 ids, the rotated vectors as column blocks (dimensions x rows) and the originals.
 
@@ -60,6 +64,12 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     return good.filter(F.size("x") == dim), dim
 
 
+def first_copies(rows: DataFrame, most: int) -> DataFrame:
+    """The rows (id, x) of the ``most`` smallest ids of each vector; Spark limits the groups before the shuffle too."""
+    order = Window.partitionBy("x").orderBy("id")
+    return rows.withColumn("copy", F.dense_rank().over(order)).filter(F.col("copy") <= most).drop("copy")
+
+
 def _centres(sample: np.ndarray, n: int, seed: int, rounds: int = 8) -> np.ndarray:
     pick = np.random.default_rng(seed)
     distinct = np.unique(sample, axis=0)
@@ -268,11 +278,13 @@ def _scan(q: int, x: np.ndarray, bound: float, ids: np.ndarray, tile: list[np.nd
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, **options) -> DataFrame:
     """Index all usable rows, search for those where ``is_query`` (over the column ``id``) holds.
 
-    An empty table, or one without usable vectors, gives an empty result.
+    All usable rows are queried against, however many copies a vector has: see ``first_copies`` for the rows that the
+    index holds.  An empty table, or one without usable vectors, gives an empty result; rows that repeat an id are
+    candidates of their own, but never of a query with that id.
     """
     rows, dim = usable(vectors, id_col, vec_col)
     rows = cut_lineage(rows)
     if not dim:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = build_index(rows, dim, k, **options)
+    index = build_index(cut_lineage(first_copies(rows, k + 1)), dim, k, **options)
     return search(index, rows.filter(is_query), k)
