@@ -408,6 +408,17 @@ def test_neighbours_of_few_and_of_none(spark):
     assert ann.nearest(df.limit(0), F.col("id") % 100 == 0).collect() == []
 
 
+def test_copies_enter_the_index_by_their_smallest_ids(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(40)] + [(3, [1.0, 0.0])] + [(50 + i, [0.0, 1.0 + i]) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    kept = sorted((r["id"], r["x"][1]) for r in ann.first_copies(df, 4).collect())
+    assert kept == [(0, 0.0), (1, 0.0), (2, 0.0), (3, 0.0), (3, 0.0), (50, 1.0), (51, 2.0), (52, 3.0)]
+    assert "WindowGroupLimit" in ann.first_copies(df, 4)._jdf.queryExecution().executedPlan().toString()
+    wide = df.withColumnsRenamed({"id": "vec_id", "x": "embedding"}).filter("vec_id <> 3")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(wide, F.col("id") == 39, k=4).collect())
+    assert got == [(39, 1, 0), (39, 2, 1), (39, 3, 2), (39, 4, 4)]   # the query itself isn't in the index
+
+
 # ------------------------------------------------------------ language
 
 def test_language_held_out_accuracy_and_odd_rows(spark, odd, none):
@@ -425,6 +436,17 @@ def test_language_held_out_accuracy_and_odd_rows(spark, odd, none):
     assert {r["lang_pred"] for r in langid.identify(odd, F.lit(False), {"doc_id": F.col("doc_id")}).collect()} == {"und"}
 
 
+def test_language_learns_from_few_texts_of_many_copies(spark):
+    pick = random.Random(3)
+    make = lambda letters: " ".join("".join(pick.choice(letters) for _ in range(5)) for _ in range(40))
+    rare = [make("abcde") for _ in range(3)]
+    rows = [(i, rare[i % 3], "aa", "s", 0) for i in range(400)] + [(400 + i, make("uvwxy"), "bb", "s", 0) for i in range(200)]
+    docs = docs_of(spark, rows)
+    model = langid.fit(docs, sample_per_language=20)
+    assert model.languages == ["aa", "bb"]
+    assert {model.predict(make("abcde"))[0] for _ in range(20)} == {"aa"} and {model.predict(make("uvwxy"))[0] for _ in range(20)} == {"bb"}
+
+
 def test_codewords_are_distinct():
     for n in (1, 2, 3, 5, 6, 40):
         code = langid.codewords(n)

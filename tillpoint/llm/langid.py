@@ -3,7 +3,7 @@
 Every language gets a codeword; one binary classifier per bit tells the
 languages whose bit is 1 from those whose bit is 0 by hashed character n-grams.
 The classifiers are fitted on a bounded sample of labelled rows
-(``sample_per_language`` documents of each language in the mean): the sample's
+(``sample_per_language`` distinct texts of each language in the mean): the sample's
 n-gram counts are summed in Spark, and only counts per language and feature come
 to the driver (languages x ``FEATURES`` numbers).  A text's bits have margins;
 decoding adds up, for each codeword, the loss of every bit weighted by how well
@@ -103,16 +103,20 @@ class Ecoc:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_per_language: int = SAMPLE, seed: int = 23) -> Ecoc:
-    """Fit on rows with a text and a language: a draw by text hash of ``sample_per_language`` rows each in the mean."""
+    """Fit on rows with a text and a language: a draw by text hash of ``sample_per_language`` texts each in the mean.
+
+    Copies count as one text, so a text that a third of the rows repeat neither fills the sample nor thins it out.
+    """
     rows = labelled.select(text_of(labelled, text_col).alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l")).filter("l is not null")
-    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    texts = rows.select("l", F.xxhash64("t").alias("h")).distinct()
+    sizes = {r["l"]: r["n"] for r in texts.groupBy("l").agg(F.count("*").alias("n")).collect()}   # a row per language
     languages = sorted(sizes)
     counts = np.zeros((len(languages), FEATURES))
     if not languages:
         return Ecoc.fit(languages, counts)
     spark = labelled.sparkSession
     rate = spark.createDataFrame([(k, min(1.0, sample_per_language / n)) for k, n in sizes.items()], "k string, p double")
-    drawn = rows.join(F.broadcast(rate), F.col("l") == F.col("k")).filter(unit_hash(F.col("t"), seed=seed) < F.col("p")).select("t", "l")
+    drawn = rows.join(F.broadcast(rate), F.col("l") == F.col("k")).filter(unit_hash(F.col("t"), seed=seed) < F.col("p")).select("t", "l").distinct()
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
