@@ -4,27 +4,34 @@ equi-joins — no cross join, and no cell that grows with a hot spot.
 Index.  Stores (identical coordinates collapsed, smallest id kept — the one
 the tie rule would pick) are counted in root cells of ``root_degrees``; a
 cell holding more than ``leaf_capacity`` stores is split into four at the
-next level, only for the stores inside it, until every store sits in a leaf
-(or ``max_depth`` is reached).  Each level is one grouped count and one join
-on the cell id; each node keeps a representative store.
+next level, until every store sits in a leaf (or ``max_depth`` is reached).
+One pass counts six levels at once (a grouped count, a semi join with the
+overfull parents), so the stores of most maps are indexed by one pass; only
+stores still in overfull cells go into the next.  Each node keeps a
+representative store.
 
 Search.
-1. *Upper bound*: the representatives of the cells on the customer's own
-   path (every level) and of all root cells give, through one equi-join, a
+1. *Upper bound*: the representatives of the root cells (at most 40, a
+   constant of the plan) and of the cells on the customer's own path give a
    distance that the nearest store cannot exceed.
-2. *Exact pass*: the tree is descended level by level, keeping only nodes
+2. *Exact pass*: the tree is descended level by level from the root cells
    that meet the bounding box of the spherical cap with that radius
    (latitude ± δ, longitude ± asin(sin δ / cos φ), the whole circle when the
-   cap holds a pole); leaves reached are scanned.  Every store within the
-   bound is therefore examined, so the arg-min — distance, then store_id —
-   equals brute force.  Work per customer is the leaves near it times
-   ``leaf_capacity``, whatever the density elsewhere.
-
-Every round is checkpointed into the shared folder (short lineage).
+   cap holds a pole).  Each round replaces an inner cell by its children that
+   meet the box and keeps a leaf; the leaves reached are scanned.  Every store
+   within the bound is therefore examined, so the arg-min — distance, then
+   store_id — equals brute force.  Work per customer is the leaves near it
+   times ``leaf_capacity``, whatever the density elsewhere.
+
+Each round reads the one before once, so rounds form one plan; every fourth is
+checkpointed into the shared folder (short lineage).  Joins are on a cell with
+the tree, which has one row per cell: customers of one crowded cell are spread
+by AQE (a broadcast of a small tree, else a split of the crowded partition).
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -33,13 +40,12 @@ from pyspark.sql import functions as F
 from tillpoint.functions.geo import EARTH_RADIUS_KM, haversine_km
 from tillpoint.session import cut_lineage
 
-
-def _cy(lat: Column, g: float) -> Column:
-    return F.floor(lat / F.lit(g)).cast("long")
+#: Tree levels that one pass over the stores counts.
+LEVELS = 6
 
 
-def _cx(lon: Column, g: float, n: int) -> Column:
-    return F.pmod(F.floor(lon / F.lit(g)).cast("long"), F.lit(n))
+def _cy(lat: Column, g) -> Column:
+    return F.floor(lat / g).cast("long")
 
 
 def build_store_index(stores: DataFrame, leaf_capacity: int = 32, max_depth: int = 24,
@@ -47,40 +53,36 @@ def build_store_index(stores: DataFrame, leaf_capacity: int = 32, max_depth: int
     """(nodes, leaf_stores, g0, n0, depth).
 
     nodes: (l, cy, cx, cnt, is_leaf, rep_id, rep_lat, rep_lon) for every
-    visited cell; leaf_stores: stores with the (l, cy, cx) of their leaf.
+    cell of the tree; leaf_stores: stores with the (l, cy, cx) of their leaf.
     """
     n0 = int(math.ceil(360.0 / root_degrees))
     g0 = 360.0 / n0
+    store, cell = ["store_id", "store_lat", "store_lon"], ["l", "cy", "cx"]
+    side = F.pow(F.lit(2.0), F.col("l"))
     active = cut_lineage(stores.groupBy("store_lat", "store_lon").agg(F.min("store_id").alias("store_id")))
     node_parts, leaf_parts = [], []
-    depth = 0
-    for level in range(max_depth + 1):
-        g, n = g0 / 2 ** level, n0 * 2 ** level
-        cells = active.select("store_id", "store_lat", "store_lon",
-                              _cy(F.col("store_lat"), g).alias("cy"), _cx(F.col("store_lon"), g, n).alias("cx"))
-        rep = F.struct("store_id", "store_lat", "store_lon")
-        counts = cells.groupBy("cy", "cx").agg(F.count(F.lit(1)).alias("cnt"), F.min_by(rep, F.col("store_id")).alias("rep"))
-        is_leaf = (F.col("cnt") <= leaf_capacity) | F.lit(level == max_depth)
-        # a grouped count over the checkpointed ``active`` frame: deterministic and
-        # cheap to recompute, so only ``active`` carries a lineage cut
-        counts = counts.select(
-            F.lit(level).alias("l"), "cy", "cx", "cnt", is_leaf.alias("is_leaf"),
-            F.col("rep.store_id").alias("rep_id"), F.col("rep.store_lat").alias("rep_lat"),
-            F.col("rep.store_lon").alias("rep_lon"))
-        node_parts.append(counts)
-        tagged = cells.join(counts.select("cy", "cx", "is_leaf"), ["cy", "cx"])
-        leaf_parts.append(tagged.filter("is_leaf").select(
-            F.lit(level).alias("l"), "cy", "cx", "store_id", "store_lat", "store_lon"))
-        depth = level
-        active = cut_lineage(tagged.filter(~F.col("is_leaf")).select("store_id", "store_lat", "store_lon"))
+    for top in range(0, max_depth + 1, LEVELS):
+        low = min(max_depth, top + LEVELS - 1)
+        cells = active.withColumn("l", F.explode(F.sequence(F.lit(top), F.lit(low)))).select(
+            *store, "l", _cy(F.col("store_lat"), g0 / side).alias("cy"),
+            F.pmod(F.floor(F.col("store_lon") * side / F.lit(g0)).cast("long"), (F.lit(n0) * side).cast("long")).alias("cx"))
+        counts = cut_lineage(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("cnt"), F.min(F.struct(*store)).alias("rep")))
+        fits = (F.col("cnt") <= leaf_capacity) | (F.col("l") == max_depth)
+        # a cell is in the tree if its parent is overfull (then so are all above it); a store's leaf is its first cell that fits
+        overfull = counts.filter(~fits).select((F.col("l") + 1).alias("pl"), F.col("cy").alias("py"), F.col("cx").alias("px"))
+        inside = counts.join(overfull, (F.col("l") == F.col("pl")) & (F.shiftright("cy", 1) == F.col("py"))
+                             & (F.shiftright("cx", 1) == F.col("px")), "left_semi").union(counts.filter(F.col("l") == top))
+        node_parts.append(inside.select(*cell, "cnt", fits.alias("is_leaf"), F.col("rep.store_id").alias("rep_id"),
+                                        F.col("rep.store_lat").alias("rep_lat"), F.col("rep.store_lon").alias("rep_lon")))
+        placed = cut_lineage(cells.join(counts.select(*cell, "cnt"), cell).groupBy(*store)
+                             .agg(F.min(F.when(fits, F.struct(*cell))).alias("leaf")))
+        leaf_parts.append(placed.filter("leaf is not null").select("leaf.*", *store))
+        active = placed.filter("leaf is null").select(*store)
         if active.isEmpty():
             break
-    nodes = node_parts[0]
-    for p in node_parts[1:]:
-        nodes = nodes.unionByName(p)
-    leaves = leaf_parts[0]
-    for p in leaf_parts[1:]:
-        leaves = leaves.unionByName(p)
+    nodes = cut_lineage(functools.reduce(DataFrame.unionByName, node_parts))
+    leaves = functools.reduce(DataFrame.unionByName, leaf_parts)
+    depth = nodes.agg(F.max("l")).first()[0] or 0
     return nodes, leaves, g0, n0, depth
 
 
@@ -106,60 +108,55 @@ def _meets_box(cy: Column, cx: Column, g: float) -> Column:
 def nearest_store(customers: DataFrame, stores: DataFrame, leaf_capacity: int = 32,
                   max_depth: int = 24, root_degrees: float = 45.0) -> DataFrame:
     """(customer_id, nearest_store_id, nearest_store_distance); customers are
-    kept (with NULLs) when there are no stores."""
+    kept (with NULLs) when there are no stores or they have no coordinates.
+
+    The plan holds (180 / root_degrees + 1) * 360 / root_degrees root cells."""
     nodes, leaves, g0, n0, depth = build_store_index(stores, leaf_capacity, max_depth, root_degrees)
     cust = customers.select("customer_id", "customer_lat", "customer_lon")
     lat, lon = F.col("customer_lat"), F.col("customer_lon")
-
-    # ---- 1. upper bound from representatives (own path + every root cell)
-    n_lat0 = int(math.floor(90.0 / g0)) - int(math.floor(-90.0 / g0)) + 1
-    cy0_min = int(math.floor(-90.0 / g0))
-    path = cust.select("customer_id", "customer_lat", "customer_lon",
-                       F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("l"))
-    path = path.select("customer_id", "customer_lat", "customer_lon", "l",
-                       F.floor(lat / (F.lit(g0) / F.pow(F.lit(2.0), F.col("l")))).cast("long").alias("cy"),
-                       F.pmod(F.floor(lon / (F.lit(g0) / F.pow(F.lit(2.0), F.col("l")))).cast("long"),
-                              (F.lit(n0) * F.pow(F.lit(2.0), F.col("l"))).cast("long")).alias("cx"))
-    roots = cust.select("customer_id", "customer_lat", "customer_lon", F.lit(0).alias("l"),
-                        (F.explode(F.sequence(F.lit(0), F.lit(n_lat0 * n0 - 1)))).alias("cell"))
-    roots = roots.select("customer_id", "customer_lat", "customer_lon", "l",
-                         (F.floor(F.col("cell") / n0) + cy0_min).cast("long").alias("cy"),
-                         (F.col("cell") % n0).cast("long").alias("cx"))
-    probes = path.unionByName(roots).join(nodes.select("l", "cy", "cx", "rep_lat", "rep_lon"), ["l", "cy", "cx"])
-    ub = probes.groupBy("customer_id").agg(
-        F.min(haversine_km("customer_lat", "customer_lon", "rep_lat", "rep_lon")).alias("ub"))
+    on_globe = F.col("cy").between(math.floor(-90.0 / g0), math.floor(90.0 / g0))
+    roots = nodes.filter(F.col("l").eqNullSafe(0) & on_globe).collect()
+    if not roots:
+        return cust.select("customer_id", F.lit(None).cast(stores.schema["store_id"].dataType).alias("nearest_store_id"),
+                           F.lit(None).cast("double").alias("nearest_store_distance"))
+    root_cells = F.array(*[F.struct(F.lit(0).alias("l"), F.lit(r.cy).alias("cy"), F.lit(r.cx).alias("cx"),
+                                    F.lit(r.is_leaf).alias("is_leaf"), F.lit(r.rep_lat).alias("rep_lat"),
+                                    F.lit(r.rep_lon).alias("rep_lon")) for r in roots])
+
+    # ---- 1. upper bound from representatives (every root cell + own path)
+    point = ["customer_id", "customer_lat", "customer_lon"]
+    bound = F.array_min(F.transform(root_cells, lambda r: haversine_km(lat, lon, r["rep_lat"], r["rep_lon"])))
+    bounded = cust.filter(lat.isNotNull() & lon.isNotNull()).withColumn("ub", bound)
+    if depth:
+        side = F.pow(F.lit(2.0), F.col("l"))
+        path = bounded.withColumn("l", F.explode(F.sequence(F.lit(1), F.lit(depth)))).withColumns({
+            "cy": _cy(lat, g0 / side), "cx": F.pmod(F.floor(lon * side / F.lit(g0)).cast("long"), (F.lit(n0) * side).cast("long"))})
+        near = path.join(nodes.select("l", "cy", "cx", "rep_lat", "rep_lon"), ["l", "cy", "cx"], "left")
+        bounded = near.groupBy(*point).agg(
+            F.least(F.min("ub"), F.min(haversine_km("customer_lat", "customer_lon", "rep_lat", "rep_lon"))).alias("ub"))
     lat_lo, lat_hi, lon_lo, lon_hi, full = _cap_box(F.col("ub"), lat, lon)
-    boxed = cut_lineage(cust.join(ub, "customer_id").select(
-        "customer_id", "customer_lat", "customer_lon", lat_lo.alias("lat_lo"), lat_hi.alias("lat_hi"),
-        lon_lo.alias("lon_lo"), lon_hi.alias("lon_hi"), full.alias("full_lon")))
+    boxed = bounded.select(*point, lat_lo.alias("lat_lo"), lat_hi.alias("lat_hi"),
+                           lon_lo.alias("lon_lo"), lon_hi.alias("lon_hi"), full.alias("full_lon"))
 
     # ---- 2. descend the tree inside each customer's box
-    box_cols = ["customer_id", "customer_lat", "customer_lon", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "full_lon"]
-    frontier = (boxed.select(*box_cols, F.explode(F.sequence(F.lit(0), F.lit(n_lat0 * n0 - 1))).alias("cell"))
-                .select(*box_cols, (F.floor(F.col("cell") / n0) + cy0_min).cast("long").alias("cy"),
-                        (F.col("cell") % n0).cast("long").alias("cx")))
-    frontier = frontier.filter(_meets_box(F.col("cy"), F.col("cx"), g0))
-    leaf_hits = []
-    for level in range(depth + 1):
-        g = g0 / 2 ** level
-        lvl_nodes = nodes.filter(F.col("l") == level).select("cy", "cx", "is_leaf")
-        hit = cut_lineage(frontier.join(lvl_nodes, ["cy", "cx"]))
-        leaf_hits.append(hit.filter("is_leaf").select("customer_id", "customer_lat", "customer_lon",
-                                                      F.lit(level).alias("l"), "cy", "cx"))
-        if level == depth:
-            break
-        kids = F.array(*[F.struct((F.col("cy") * 2 + a).alias("cy"), (F.col("cx") * 2 + b).alias("cx"))
-                         for a in (0, 1) for b in (0, 1)])
-        frontier = (hit.filter(~F.col("is_leaf")).select(*box_cols, F.explode(kids).alias("k"))
-                    .select(*box_cols, F.col("k.cy").alias("cy"), F.col("k.cx").alias("cx")))
-        frontier = frontier.filter(_meets_box(F.col("cy"), F.col("cx"), g / 2))
-    scan = leaf_hits[0]
-    for h in leaf_hits[1:]:
-        scan = scan.unionByName(h)
-    cand = scan.join(leaves, ["l", "cy", "cx"]).select(
-        "customer_id", "store_id",
-        haversine_km("customer_lat", "customer_lon", "store_lat", "store_lon").alias("d"))
-    best = cand.groupBy("customer_id").agg(F.min_by(F.struct("d", "store_id"), F.struct("d", "store_id")).alias("b"))
+    box = boxed.columns
+    hit = F.filter(root_cells, lambda r: _meets_box(r["cy"], r["cx"], g0))
+    reached = boxed.select(*box, F.explode(hit).alias("c")).select(*box, "c.l", "c.cy", "c.cx", "c.is_leaf")
+    tree = nodes.select("l", "cy", "cx", "is_leaf")
+    for level in range(depth):
+        def cell(down, dy, dx):
+            return F.struct((F.col("l") + down).alias("l"), (F.col("cy") * (1 + down) + dy).alias("cy"),
+                            (F.col("cx") * (1 + down) + dx).alias("cx"))
+
+        kids = F.filter(F.array(*[cell(1, a, b) for a in (0, 1) for b in (0, 1)]),
+                        lambda k: _meets_box(k["cy"], k["cx"], g0 / 2 ** (level + 1)))  # noqa: B023
+        step = F.explode(F.when(F.col("is_leaf"), F.array(cell(0, 0, 0))).otherwise(kids))
+        reached = reached.select(*box, step.alias("c")).select(*box, "c.l", "c.cy", "c.cx").join(tree, ["l", "cy", "cx"])
+        if level % 4 == 3:
+            reached = cut_lineage(reached)
+    cand = reached.select(*point, "l", "cy", "cx").join(leaves, ["l", "cy", "cx"]).select(
+        "customer_id", F.struct(haversine_km("customer_lat", "customer_lon", "store_lat", "store_lon").alias("d"), "store_id").alias("s"))
+    best = cand.groupBy("customer_id").agg(F.min("s").alias("b"))
     return cust.join(best, "customer_id", "left").select(
         "customer_id", F.col("b.store_id").alias("nearest_store_id"),
         F.col("b.d").alias("nearest_store_distance"))
