@@ -95,7 +95,7 @@ def test_join_without_equality_needs_consent(spark):
     assert transforms.apply_transformations(df, [step], join_dfs={"o": df}).count() == 3
 
 
-@pytest.mark.parametrize("function", ["row_number()", "sum(money)", "sum(n)", "count(n)", "lag(money)"])
+@pytest.mark.parametrize("function", ["row_number()", "sum(money)", "sum(n)", "count(n)", "lag(money)", "lag(money, 3)", "lead(n, 40)"])
 @pytest.mark.parametrize("frame", [None, {"start": -2, "end": 0}, {"start": -1500, "end": 0}])
 def test_split_windows_have_the_plain_type_and_value(spark, function, frame):
     if frame and not function.startswith(("sum", "count")):
@@ -112,10 +112,12 @@ def test_split_windows_have_the_plain_type_and_value(spark, function, frame):
 
 def test_one_key_over_many_ranges(spark):
     df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 13).alias("v"))
-    outputs = [("row_number", "n"), ("lag", "a", "v"), ("lead", "b", "v"), ("running_sum", "s", "v"), ("moving_sum", "m", "v", 45)]
+    outputs = [("row_number", "n"), ("lag", "a", "v"), ("lead", "b", "v"), ("running_sum", "s", "v"), ("moving_sum", "m", "v", 45),
+               ("lag", "a50", "v", 50), ("lead", "b50", "v", 50), ("lag", "a9", "v", 9999)]
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("t", F.row_number().over(w).alias("n"), F.lag("v").over(w).alias("a"), F.lead("v").over(w).alias("b"),
-                     F.sum("v").over(w).alias("s"), F.sum("v").over(w.rowsBetween(-45, 0)).alias("m"))
+                     F.sum("v").over(w).alias("s"), F.sum("v").over(w.rowsBetween(-45, 0)).alias("m"),
+                     F.lag("v", 50).over(w).alias("a50"), F.lead("v", 50).over(w).alias("b50"), F.lag("v", 9999).over(w).alias("a9"))
     got = split_window(df, ["k"], [F.col("t")], outputs, partitions=200).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 

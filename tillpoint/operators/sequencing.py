@@ -35,7 +35,7 @@ from tillpoint.session import cut_lineage
 
 # Supported per-row outputs of ``split_window`` (kind, output column, input column, k):
 #   row_number, rank, dense_rank             — positions in the group
-#   lag, lead                                — previous / next row's value (offset 1)
+#   lag, lead                                — the value k rows before / after (k 1 when not given)
 #   running_sum, running_count               — over the frame (rows or the default range frame)
 #   moving_sum, moving_count                 — over rows between k preceding and the current row
 SUPPORTED = ("row_number", "rank", "dense_rank", "lag", "lead", "running_sum", "running_count",
@@ -85,9 +85,9 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
             frame = w.rowsBetween(-int(k), Window.currentRow)
             local[f"_o{i}"] = (F.sum(value) if kind == "moving_sum" else F.count(value)).over(frame)
         elif kind == "lag":
-            local[f"_o{i}"] = F.lag(col).over(w)
+            local[f"_o{i}"] = F.lag(col, int(k or 1)).over(w)
         elif kind == "lead":
-            local[f"_o{i}"] = F.lead(col).over(w)
+            local[f"_o{i}"] = F.lead(col, int(k or 1)).over(w)
         elif kind == "running_sum":
             local[f"_o{i}"] = F.sum(col).over(wf)
             local[f"_t{i}"] = F.sum(col).over(whole)
@@ -99,24 +99,31 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     s = cut_lineage(s.withColumns(local))
 
     # ---- per-partition summary: first and last group, carries of the last group
-    vcols = sorted({col for kind, _, col, _ in outputs if kind in ("lag", "lead")})
+    far = {i for i, (kind, _, _, k) in enumerate(outputs) if kind in ("lag", "lead") and int(k or 1) > 1}
+    vcols = sorted({col for i, (kind, _, col, _) in enumerate(outputs) if kind in ("lag", "lead") and i not in far})
     vals = F.struct(*[F.col(c).alias(c) for c in vcols]) if vcols else F.lit(None)
     tails = [F.max("_lcnt").alias("_c_cnt"), F.max("_ldense").alias("_c_dense"),
              F.max_by(vals, F.col("_lrn")).alias("_c_last")]
     tails += [F.max(f"_t{i}").alias(f"_c{i}") for i, (k, _, _, _) in enumerate(outputs) if k.startswith("running")]
     for i, (kind, _, col, k) in enumerate(outputs):
-        if kind.startswith("moving"):
+        if kind.startswith("moving") or (kind == "lag" and i in far):
             # the last k rows of the tail group (at most k per partition)
             value = F.lit(1) if col in (None, "*") else F.col(col)
             value = value.cast(total_type(col)) if kind == "moving_sum" else value
             last_k = F.collect_list(F.when(F.col("_lrn") > F.col("_lcnt") - int(k),
                                            F.struct(F.col("_lrn").alias("r"), value.alias("v"))))
             tails.append(F.transform(F.array_sort(last_k), lambda x: x["v"]).alias(f"_c{i}"))
+    heads_far = []      # the first k rows of the head group
+    for i in sorted(far):
+        kind, _, col, k = outputs[i]
+        if kind == "lead":
+            first_k = F.collect_list(F.when(F.col("_lrn") <= int(k), F.struct(F.col("_lrn").alias("r"), F.col(col).alias("v"))))
+            heads_far.append(F.transform(F.array_sort(first_k), lambda x: x["v"]).alias(f"_h{i}"))
     bounds = s.groupBy("_pid").agg(F.min(key_struct).alias("_first"), F.max(key_struct).alias("_last"))
     tail = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_last")))
             .groupBy("_pid").agg(*tails))
     head = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_first")))
-            .groupBy("_pid").agg(F.min_by(vals, F.col("_lrn")).alias("_h_first")))
+            .groupBy("_pid").agg(F.min_by(vals, F.col("_lrn")).alias("_h_first"), *heads_far))
     summary = bounds.join(tail, "_pid").join(head, "_pid")       # one row per range partition
     # A partition's tail serves later partitions that start with its last key, its head serves earlier
     # ones that end with its first key.  Each partition gives one row and asks with another, per key in
@@ -131,18 +138,25 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
     for i, (kind, _, _, k) in enumerate(outputs):
         if kind.startswith("running"):
             carries.append(F.sum(f"_c{i}").over(past).alias(f"_k{i}"))
-        elif kind.startswith("moving"):
+        elif kind.startswith("moving") or (kind == "lag" and i in far):
             # every tail holds a row at least, so the last k rows lie in the last k tails (every second row)
             near = Window.partitionBy("_key").orderBy("_pid", "_gives").rowsBetween(-2 * max(1, int(k)), -1)
             flat = F.flatten(F.collect_list(f"_c{i}").over(near))
             carries.append(F.slice(flat, F.greatest(F.size(flat) - int(k) + 1, F.lit(1)), int(k)).alias(f"_k{i}"))
     before = gives.union(asks).select("_pid", "_gives", *carries).filter(~F.col("_gives")).drop("_gives")
-    no_head = F.lit(None).cast(summary.schema["_h_first"].dataType).alias("_h_first")
-    heads = summary.select("_pid", F.col("_first").alias("_key"), F.lit(True).alias("_gives"), "_h_first").union(
-        summary.select("_pid", F.col("_last").alias("_key"), F.lit(False).alias("_gives"), no_head))
-    ahead = Window.partitionBy("_key").orderBy(F.col("_pid").desc(), F.col("_gives").asc()).rowsBetween(Window.unboundedPreceding, -1)
-    after = heads.select("_pid", "_gives", F.last("_h_first", ignorenulls=True).over(ahead).alias("_k_next")) \
-        .filter(~F.col("_gives")).drop("_gives")
+    ahead_cols = [c for c in summary.columns if c.startswith("_h")]
+    no_head = [F.lit(None).cast(summary.schema[c].dataType).alias(c) for c in ahead_cols]
+    heads = summary.select("_pid", F.col("_first").alias("_key"), F.lit(True).alias("_gives"), *ahead_cols).union(
+        summary.select("_pid", F.col("_last").alias("_key"), F.lit(False).alias("_gives"), *no_head))
+    ahead = Window.partitionBy("_key").orderBy(F.col("_pid").desc(), F.col("_gives").asc())
+    nexts = [F.last("_h_first", ignorenulls=True).over(ahead.rowsBetween(Window.unboundedPreceding, -1)).alias("_k_next")]
+    for i in sorted(far):
+        if outputs[i][0] == "lead":
+            # the window runs from the last partition to the first, so the nearest head comes last
+            k = int(outputs[i][3])
+            lists = F.reverse(F.collect_list(f"_h{i}").over(ahead.rowsBetween(-2 * k, -1)))
+            nexts.append(F.slice(F.flatten(lists), 1, k).alias(f"_k{i}"))
+    after = heads.select("_pid", "_gives", *nexts).filter(~F.col("_gives")).drop("_gives")
     fix = summary.select("_pid", "_first", "_last").join(before, "_pid", "left").join(after, "_pid", "left")
 
     # ---- apply: the first group may continue earlier partitions, the last one later ones
@@ -158,6 +172,12 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
             cols[name] = F.col("_lrank") + carry("_k_cnt")
         elif kind == "dense_rank":
             cols[name] = F.col("_ldense") + carry("_k_dense")
+        elif i in far and kind == "lag":
+            back = F.size(f"_k{i}") - (int(k) - F.col("_lrn"))              # place among the carried rows, from 1
+            cols[name] = F.when(cont_first & (F.col("_lrn") <= int(k)), F.get(f"_k{i}", back - 1)).otherwise(F.col(f"_o{i}"))
+        elif i in far:
+            on = F.col("_lrn") + int(k) - F.col("_lcnt")
+            cols[name] = F.when(key_struct.eqNullSafe(F.col("_last")) & (on > 0), F.get(f"_k{i}", on - 1)).otherwise(F.col(f"_o{i}"))
         elif kind == "lag":
             cols[name] = F.when(cont_first & (F.col("_lrn") == 1), F.col("_k_last")[col]).otherwise(F.col(f"_o{i}"))
         elif kind == "lead":

@@ -134,7 +134,7 @@ def pivot(df: DataFrame, t: Mapping, **_) -> DataFrame:
 
 
 _RANKING = re.compile(r"^\s*(row_number|rank|dense_rank)\s*\(\s*\)\s*$", re.I)
-_SHIFT = re.compile(r"^\s*(lag|lead)\s*\(\s*`?(\w+)`?\s*(,\s*1\s*)?\)\s*$", re.I)
+_SHIFT = re.compile(r"^\s*(lag|lead)\s*\(\s*`?(\w+)`?\s*(?:,\s*([1-9]\d*)\s*)?\)\s*$", re.I)
 _RUNNING = re.compile(r"^\s*(sum|count)\s*\(\s*(\*|1|`?\w+`?)\s*\)\s*$", re.I)
 
 
@@ -151,7 +151,7 @@ def _split_plan(t: Mapping):
         return m.group(1).lower(), None, False
     m = _SHIFT.match(fn)
     if m and not frame:
-        return m.group(1).lower(), m.group(2), False
+        return m.group(1).lower(), m.group(2), int(m.group(3) or 1)
     m = _RUNNING.match(fn)
     if m:
         col = m.group(2).strip("`")
@@ -271,7 +271,7 @@ def _run_window_batch(df: DataFrame, batch) -> DataFrame:
     ordering = [_sort_col(o) for o in _as_list(first["order_by"])]
     outputs = []
     for t, (kind, col, extra) in batch["steps"]:
-        outputs.append((kind, t["column_name"], col, extra) if kind.startswith("moving") else (kind, t["column_name"], col))
+        outputs.append((kind, t["column_name"], col, extra) if kind.startswith(("moving", "lag", "lead")) else (kind, t["column_name"], col))
     # a step's type must not depend on how it is run: that of the plain window
     plain = df.select(*[_expr(t["function"]).over(window_spec(t["window_spec"])).alias(t["column_name"])
                         for t, _ in batch["steps"]]).schema
