@@ -26,6 +26,7 @@ PATTERNS = {
     "window": r"\bWindow\b",
     "python": r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas|AggregateInPandas|WindowInPandas)",
     "single_partition": r"Exchange SinglePartition",
+    "checkpoints": r"Scan ExistingRDD",
 }
 
 
@@ -55,6 +56,7 @@ def main() -> int:
     for k in QUERIES:
         if a.keys and not any(s in k for s in a.keys):
             continue
+        spark.sparkContext.setJobGroup(k, k)
         df = QUERIES[k](spark, a.sf)
         df.write.format("noop").mode("overwrite").save()
         text = df._jdf.queryExecution().executedPlan().toString()
@@ -62,21 +64,23 @@ def main() -> int:
         scans = re.findall(r"FileScan parquet [^\n]*", text)
         pruned = all("ReadSchema" in s for s in scans)
         pushed = sum(1 for s in scans if "PushedFilters: [" in s and "PushedFilters: []" not in s)
-        rows.append((k, counts, len(scans), pruned, pushed))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(k))
+        rows.append((k, counts, len(scans), pruned, pushed, jobs))
         print(k, counts, flush=True)
     with open(a.out, "w") as f:
         f.write("# Physical plans (final adaptive plans at " + os.path.basename(a.sf) + ", local[8])\n\n")
         f.write("Generated by `tools/plan_report.py`.  Counts are per query over its final plan "
-                "(the last job when a query runs several).  `shuffle` = hash/range exchanges; "
+                "(what a query wrote before it, such as a lineage cut, shows as `ckpt`: reads of checkpointed frames; "
+                "`jobs` counts all Spark jobs of the query, these included; a streaming query's own jobs run outside its group).  `shuffle` = hash/range exchanges; "
                 "`bcast` = broadcast exchanges chosen by AQE from measured sizes or by an explicit "
                 "bounded hint; `bnlj`/`cartesian` = nested-loop / cartesian joins; `python` = Python "
                 "evaluation nodes; `scans` = parquet scans (all read a pruned `ReadSchema`), "
                 "`pushed` = scans with pushed filters.\n\n")
-        f.write("| query | shuffle | bcast | smj | bhj | bnlj | cartesian | window | python | scans | pushed |\n")
-        f.write("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |\n")
-        for k, c, n_scan, pruned, pushed in rows:
+        f.write("| query | shuffle | bcast | smj | bhj | bnlj | cartesian | window | python | scans | ckpt | pushed | jobs |\n")
+        f.write("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |\n")
+        for k, c, n_scan, pruned, pushed, jobs in rows:
             f.write(f"| `{k}` | {c['shuffles']} | {c['broadcasts']} | {c['smj']} | {c['bhj']} | {c['bnlj']} | "
-                    f"{c['cartesian']} | {c['window']} | {c['python']} | {n_scan}{'' if pruned else ' (!)'} | {pushed} |\n")
+                    f"{c['cartesian']} | {c['window']} | {c['python']} | {n_scan}{'' if pruned else ' (!)'} | {c['checkpoints']} | {pushed} | {jobs} |\n")
     return 0
 
 
