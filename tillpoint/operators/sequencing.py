@@ -124,7 +124,8 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
             .groupBy("_pid").agg(*tails))
     head = (s.join(F.broadcast(bounds), "_pid").filter(key_struct.eqNullSafe(F.col("_first")))
             .groupBy("_pid").agg(F.min_by(vals, F.col("_lrn")).alias("_h_first"), *heads_far))
-    summary = bounds.join(tail, "_pid").join(head, "_pid")       # one row per range partition
+    # one row per range partition; read several times below, so written once
+    summary = cut_lineage(bounds.join(tail, "_pid").join(head, "_pid"))
     # A partition's tail serves later partitions that start with its last key, its head serves earlier
     # ones that end with its first key.  Each partition gives one row and asks with another, per key in
     # partition order; a running window hands the carries on (no pairing of partitions).
