@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import ann, chat, langid, linededup, mixing, pieces, quality, sharding, simhash, warc
+from tillpoint.llm import ann, chat, langid, linededup, mixing, pieces, quality, sharding, simhash, substring, warc
 from tillpoint.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"))
     return dealt.select("doc_id", F.col("size"), F.crc32(text_of(dealt, "text").cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
                         "shard", F.col("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op11_substring", r"""
+with d as (select row_number() over () as rid, coalesce(doc_id, 9223372036854775807) as id, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+s as (select rid, id, words, unnest(range(1, len(words) - 48)) as pos from d),
+w as (select rid, id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) as win from s),
+l as (select win, min(id) as least from w group by win),
+g as (select rid, pos from w join l using (win) where least < id),
+c as (select distinct rid, unnest(range(pos, pos + 50)) as pos from g),
+e as (select rid, unnest(words) as word, generate_subscripts(words, 1) as pos from d),
+k as (select e.rid, count(*) filter (c.pos is not null)::bigint as n_removed,
+             coalesce(string_agg(word, ' ' order by e.pos) filter (c.pos is null), '') as kept
+      from e left join c on e.rid = c.rid and e.pos = c.pos group by e.rid)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (rid)
+""")
+def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
