@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import ann, chat, langid, linededup, mixing, pieces, quality, sharding, simhash, substring, warc
+from tillpoint.llm import ann, chat, langid, linededup, mixing, phrases, pieces, quality, sharding, simhash, substring, warc
 from tillpoint.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,5 +222,34 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as
 from d left join k using (rid)
 """)
 def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    done = substring.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op13_phrases", r"""
+with p as (select row_number() over () as rid, coalesce(lang, 'und') as lang,
+                  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces
+           from documents),
+q as (select rid, lang, unnest(pieces) as piece, generate_subscripts(pieces, 1) as i from p),
+w as (select rid, i, lang, unnest(ws) as w1, generate_subscripts(ws, 1) as pos from (select rid, i, lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from q)),
+g as (select lang, w1, lead(w1, 1) over o as w2, lead(w1, 2) over o as w3, lead(w1, 3) over o as w4 from w window o as (partition by rid, i order by pos)),
+n as (select lang, count(*)::bigint as n from g group by lang),
+f as (select lang, 1 as m, [w1] as ws, count(*) as f from g group by lang, w1
+      union all select lang, 2, [w1, w2], count(*) from g where w2 is not null group by lang, w1, w2
+      union all select lang, 3, [w1, w2, w3], count(*) from g where w3 is not null group by lang, w1, w2, w3
+      union all select lang, 4, [w1, w2, w3, w4], count(*) from g where w4 is not null group by lang, w1, w2, w3, w4),
+c as (select * from f where f >= 30),
+k as (select c.lang, c.m, c.ws, c.f as a, unnest(range(1, c.m)) as cut from c where c.m > 1),
+s as (select k.lang, k.m, k.ws, a, cut, x.f as l, y.f as r, ((2000000::hugeint * a) // (x.f + y.f))::bigint as score
+      from k join c x on k.lang = x.lang and x.ws = k.ws[1:k.cut] join c y on k.lang = y.lang and y.ws = k.ws[k.cut + 1:k.m]),
+b as (select lang, m, ws, a, arg_min(struct_pack(l := l, r := r, score := score), score * 10 + cut) as t from s group by lang, m, ws, a),
+inner_parts as (select lang, f, unnest([ws[1:m - 1], ws[2:m]]) as ws from c where m > 2
+                union all select lang, f, unnest([ws[1:2], ws[2:3], ws[3:4]]) from c where m = 4),
+gone as (select distinct b.lang, b.ws from b join inner_parts i on b.lang = i.lang and b.ws = i.ws where 100 * i.f >= 80 * b.a),
+kept as (select b.lang, array_to_string(b.ws, ' ') as phrase, a, t.l as l, t.r as r, t.score as score
+         from b left join gone on b.lang = gone.lang and b.ws = gone.ws where gone.lang is null),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score from ranked join n using (lang) where rank <= 2000
+""")
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
