@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import SPACES, fresh, text_batches, text_of, without
+from tillpoint.llm.common import SPACES, text_batches, text_of, without
 from tillpoint.llm.words import Words, byte_table, chunks, separators, text_bytes, window_hashes
 
 WINDOW = 50
@@ -89,15 +89,16 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
     return pc.list_flatten(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
 
 
-def _per_row(rk: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> pa.Table:
-    """(rk, doc, pos): the positions of every row as one array."""
-    order = np.lexsort((pos, doc, rk))
-    rk, doc, pos = rk[order], doc[order], pos[order]
-    new = np.flatnonzero(np.r_[True, (rk[1:] != rk[:-1]) | (doc[1:] != doc[:-1])]) if len(rk) else np.zeros(0, np.int64)
-    return pa.table({"rk": rk[new], "doc": doc[new], "pos": _lists(pos, np.r_[new, len(rk)])})
-
-
-_ROW_POS = "rk long, doc long, pos array<int>"
+def _per_row(keys: dict[str, np.ndarray], pos: np.ndarray) -> pa.Table:
+    """The keys of every row, and its positions as one array."""
+    order = np.lexsort((pos, *keys.values()))
+    keys, pos = {n: k[order] for n, k in keys.items()}, pos[order]
+    new = np.zeros(len(pos), bool)
+    new[:1] = True
+    for k in keys.values():
+        new[1:] |= k[1:] != k[:-1]
+    new = np.flatnonzero(new)
+    return pa.table({n: k[new] for n, k in keys.items()} | {"pos": _lists(pos, np.r_[new, len(pos)])})
 
 
 def _ranges(h: np.ndarray, n: int) -> np.ndarray:
@@ -174,14 +175,17 @@ def _least_documents(rows: DataFrame, known: np.ndarray, second: np.ndarray, win
 
 
 def _parts(spark: SparkSession, hashes: float) -> int:
-    """Hash ranges: enough for all tasks, and for ranges of a bounded size."""
-    return int(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hashes // RANGE_HASHES), 1))
+    """Hash ranges: enough for all tasks, and for ranges of a bounded size.  Fewer ranges pack closer: a row's
+    number then serves several of its hashes."""
+    return int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hashes // RANGE_HASHES), 1))
 
 
-def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(rk, doc, starts) for ``rows`` (rk long, doc long, text string): per row the first words of all windows whose
-    words also begin somewhere in a row with a smaller doc.  Rows without such a window are missing."""
-    spark = rows.sparkSession
+def repeated_windows(whole: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(rk, doc, starts) for a frame with the columns rk long, doc long, text string (rk is a hash of the row):
+    per row the first words of all windows whose words also begin somewhere in a row with a smaller doc.
+    Rows without such a window are missing."""
+    spark = whole.sparkSession
+    rows = whole.select("rk", "doc", "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     period, cover = cover_for(window)
     common = _common(rows, window, max(1, -(-size // SAMPLE_BYTES)))
@@ -198,30 +202,29 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
             h, rk = h.view(np.int64), _longs(part.column("rk"))
             is_sure = _among(h, shared_by_sample.value) >= 0
             r = np.where(is_sure, _ranges(rk[text] * 31 + at, n), _ranges(h, n))   # sure ones lie anywhere: nobody looks for them
-            yield _packed(r, {"h": h, "sure": is_sure, "doc": _longs(part.column("doc"))[text], "rk": rk[text],
-                              "pos": (at - w.first[text]).astype(np.int32)})
+            yield _packed(r, {"h": h, "sure": is_sure, "rk": rk[text], "pos": (at - w.first[text]).astype(np.int32)})
 
     def shared(group: pa.Table) -> pa.Table:
-        h, doc, is_sure = _flat(group, "h"), _flat(group, "doc"), _flat(group, "sure").astype(bool)
-        order, first, of = _groups([h, doc])
+        h, rk, is_sure = _flat(group, "h"), _flat(group, "rk"), _flat(group, "sure").astype(bool)
+        order, first, of = _groups([h, rk])
         last = np.r_[first[1:] - 1, len(h) - 1]
-        two = doc[order][first] < doc[order][last]
+        two = rk[order][first] != rk[order][last]
         take = np.sort(order[two[of] | is_sure[order]])
-        return _per_row(_flat(group, "rk")[take], doc[take], _flat(group, "pos")[take])
+        return _per_row({"rk": rk[take]}, _flat(group, "pos")[take])
 
-    packed = rows.mapInArrow(anchors, "r int, h array<long>, sure array<boolean>, doc array<long>, rk array<long>, pos array<int>")
-    spots = packed.groupBy("r").applyInArrow(shared, _ROW_POS).groupBy("rk", "doc").agg(F.flatten(F.collect_list("pos")).alias("pos"))
-    spots = spots.toDF("rk_", "doc_", "pos")
-    # left, as the last join is: both then read one exchange of the texts
-    met = rows.join(spots, (F.col("rk") == F.col("rk_")) & (F.col("doc") == F.col("doc_")), "left").select("rk", "doc", "text", "pos")
+    packed = rows.mapInArrow(anchors, "r int, h array<long>, sure array<boolean>, rk array<long>, pos array<int>")
+    spots = packed.groupBy("r").applyInArrow(shared, "rk long, pos array<int>").groupBy("rk").agg(F.flatten(F.collect_list("pos")).alias("pos"))
+    # all columns go along, so this join and the last one read the same exchange of the texts.  Rows that share
+    # rk by chance get each other's places too: those are only looked at
+    met = whole.join(spots.withColumnRenamed("rk", "rk_"), F.col("rk") == F.col("rk_"))
 
     def windows(batches):
         k_known, k_second, k_least = frequent.value
-        for part, raw, offsets in chunks((b.filter(pc.is_valid(b.column("pos"))) for b in batches), "text"):
+        for part, raw, offsets in chunks((b.select(["rk", "doc", "text", "pos"]) for b in batches), "text"):
             w = Words(raw, offsets, _SEP)
             pos = part.column("pos")
             text = np.repeat(np.arange(len(part)), pc.list_value_length(pos).to_numpy(zero_copy_only=False))
-            at = w.first[text] + pc.list_flatten(pos).to_numpy(zero_copy_only=False)
+            at = np.minimum(w.first[text] + pc.list_flatten(pos).to_numpy(zero_copy_only=False), w.first[text + 1])
             lo = np.maximum(at - (period - 1), w.first[text])
             hi = np.maximum(np.minimum(at, w.first[text + 1] - window) + 1, lo)
             step = np.zeros(len(w.starts) + 1, np.int64)
@@ -245,10 +248,10 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         doc, gone = _flat(group, "doc"), _flat(group, "gone").astype(bool)
         order, first, of = _groups([_flat(group, "k1"), _flat(group, "k2"), doc])
         take = np.sort(order[(doc[order][first][of] < doc[order]) & ~gone[order] | gone[order]])
-        return _per_row(_flat(group, "rk")[take], doc[take], _flat(group, "pos")[take])
+        return _per_row({"rk": _flat(group, "rk")[take], "doc": doc[take]}, _flat(group, "pos")[take])
 
     packed = met.mapInArrow(windows, "r int, k1 array<long>, k2 array<int>, gone array<boolean>, doc array<long>, rk array<long>, pos array<int>")
-    found = packed.groupBy("r").applyInArrow(repeated, _ROW_POS)
+    found = packed.groupBy("r").applyInArrow(repeated, "rk long, doc long, pos array<int>")
     return found.groupBy("rk", "doc").agg(F.flatten(F.collect_list("pos")).alias("starts"))
 
 
@@ -288,13 +291,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     """
     text_batches(docs.sparkSession)
     docs = without(docs, "n_words", "n_removed")
-    rk, doc, hit, hit_doc, made = fresh(docs, "rk", "doc", "rk_hit", "doc_hit", "made")
+    own = {c: f"in{i}" for i, c in enumerate(docs.columns)}
     text = text_of(docs, text_col)
-    own = docs.withColumn(doc, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))).withColumn(rk, F.xxhash64(F.col(f"`{id_col}`"), text))
-    rows = own.select(F.col(rk).alias("rk"), F.col(doc).alias("doc"), text.alias("text"))
-    found = repeated_windows(rows, window).toDF(hit, hit_doc, "starts")
-    joined = own.join(found, (F.col(rk) == F.col(hit)) & (F.col(doc) == F.col(hit_doc)), "left")
+    # working columns first, the document's own under plain names
+    whole = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("rk"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
+                        text.alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in own.items() if c != text_col])
+    found = repeated_windows(whole, window).toDF("hit", "hit_doc", "starts")
+    # the bounds instead of an equality keep the exchange on rk alone
+    joined = whole.join(found, (F.col("rk") == F.col("hit")) & F.col("doc").between(F.col("hit_doc"), F.col("hit_doc")), "left")
     none = F.array().cast("array<int>")
-    done = joined.withColumn(made, _kept(window)(text_of(docs, text_col), F.coalesce(found["starts"], none)))
-    cols = [F.col(f"{made}.kept").alias(c) if c == text_col else docs[f"`{c}`"] for c in docs.columns]
-    return done.select(*cols, F.col(f"{made}.n_words").alias("n_words"), F.col(f"{made}.n_removed").alias("n_removed"))
+    done = joined.withColumn("made", _kept(window)("text", F.coalesce("starts", none)))
+    cols = [F.col("made.kept" if c == text_col else n).alias(c) for c, n in own.items()]
+    return done.select(*cols, "made.n_words", "made.n_removed")
