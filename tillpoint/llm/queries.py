@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import ann, chat, langid, linededup, mixing, phrases, pieces, quality, sharding, simhash, substring, warc
+from tillpoint.llm import ann, chat, langid, linededup, mixing, phrases, pieces, quality, sharding, simhash, substring, vectorcodes, warc
 from tillpoint.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,3 +253,39 @@ select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bi
 """)
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql() -> str:
+    """Rounds spelt out: every part against every entry."""
+    sql = """
+with k as materialized (
+  select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as q from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+p as materialized (select rid, part, q[part * (len(q) // 4) + 1:(part + 1) * (len(q) // 4)] as v from k, range(4) t(part)),
+b0 as materialized (select part, (row_number() over (partition by part order by vec_id, q) - 1)::bigint as entry, v
+      from p join (select rid, vec_id, q from k order by vec_id, q limit 256) using (rid))"""
+    for i in range(5):
+        sql += f""",
+a{i} as materialized (select rid, part, min((list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v))::bigint * 256 + entry) as best
+      from p join b{i} b using (part) group by rid, part)"""
+        if i < 4:
+            sql += f""",
+u{i} as (select part, best % 256 as entry, pos, floor(sum(x) / count(*)) as x
+       from (select rid, part, unnest(v) as x, generate_subscripts(v, 1) as pos from p) join a{i} using (rid, part) group by part, best % 256, pos),
+b{i + 1} as materialized (select b.part, b.entry, coalesce(n.v, b.v) as v
+      from b{i} b left join (select part, entry, list(x order by pos) as v from u{i} group by part, entry) n on b.part = n.part and b.entry = n.entry)"""
+    return sql + """,
+e as (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as pos from b4),
+h as (select sha256(string_agg(x::bigint::varchar, ',' order by part, entry, pos)) as codebooks_sha256 from e),
+c as (select rid, string_agg(lpad(to_hex(best % 256), 2, '0'), '' order by part) as code, sum(best // 256)::bigint as error from a4 group by rid),
+r as (select vec_id, label, lower(code) as code, error from c join k using (rid))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from r, h
+"""
+
+
+@register("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vectorcodes.encode(table(spark, sf_dir, "embeddings"), {"vec_id": F.col("vec_id"), "label": F.col("label")})
+    hexed = F.lower(F.concat(*[F.lpad(F.hex(F.element_at("codes", p + 1).cast("long")), 2, "0") for p in range(vectorcodes.PARTS)]))
+    return vectorcodes.error_by(coded.rows, "label").select("vec_id", hexed.alias("code"), "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256"))
