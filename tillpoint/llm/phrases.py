@@ -121,7 +121,7 @@ def _cuts(one: np.ndarray, two: np.ndarray, at_one: np.ndarray, at_two: np.ndarr
     return out
 
 
-def _runs(splitters: dict[str, list[list[bytes]]]):
+def _runs(splitters: dict[str, list[tuple[bytes, ...]]]):
     """Chunks to sorted runs: one row per chunk and range with the range's words and packed grams."""
 
     def runs(batches):
@@ -200,7 +200,7 @@ def _prefixes(min_count: int):
     return merge
 
 
-def _splitters(rows: DataFrame, ranges: int, places: float) -> dict[str, list[list[bytes]]]:
+def _splitters(rows: DataFrame, ranges: int, places: float) -> dict[str, list[tuple[bytes, ...]]]:
     """Per language the grams that cut a sample of places into about ``ranges`` equal parts; they only deal out the work."""
     want = max(SAMPLE_PLACES, 20 * ranges)
     share = max(1, int(places / (8 * want)))
@@ -216,10 +216,10 @@ def _splitters(rows: DataFrame, ranges: int, places: float) -> dict[str, list[li
 
     sample = rows.filter(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(share)) == 0) if share > 1 else rows
     got = sample.mapInArrow(emit, "lang string, key string").toPandas()
-    grams = sorted((lang, key.encode()) for lang, key in zip(got["lang"], got["key"]))
-    out: dict[str, list[list[bytes]]] = {}
-    for lang, key in sorted({grams[i * len(grams) // ranges] for i in range(1, ranges)} if grams else ()):
-        out.setdefault(lang, []).append(key.split(b"\n")[:-1])
+    grams = sorted((lang, tuple(key.encode().split(b"\n")[:-1])) for lang, key in zip(got["lang"], got["key"]))   # word by word, as codes compare
+    out: dict[str, list[tuple[bytes, ...]]] = {}
+    for lang, gram in sorted({grams[i * len(grams) // ranges] for i in range(1, ranges)} if grams else ()):
+        out.setdefault(lang, []).append(gram)
     return out
 
 
