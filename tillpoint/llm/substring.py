@@ -89,18 +89,6 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
     return pc.list_flatten(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
 
 
-def _per_row(keys: dict[str, np.ndarray], pos: np.ndarray) -> pa.Table:
-    """The keys of every row, and its positions as one array."""
-    order = np.lexsort((pos, *keys.values()))
-    keys, pos = {n: k[order] for n, k in keys.items()}, pos[order]
-    new = np.zeros(len(pos), bool)
-    new[:1] = True
-    for k in keys.values():
-        new[1:] |= k[1:] != k[:-1]
-    new = np.flatnonzero(new)
-    return pa.table({n: k[new] for n, k in keys.items()} | {"pos": _lists(pos, np.r_[new, len(pos)])})
-
-
 def _ranges(h: np.ndarray, n: int) -> np.ndarray:
     return (h.view(np.uint64) >> np.uint64(32)).astype(np.int64) * n >> 32
 
@@ -210,10 +198,10 @@ def repeated_windows(whole: DataFrame, window: int = WINDOW) -> DataFrame:
         last = np.r_[first[1:] - 1, len(h) - 1]
         two = rk[order][first] != rk[order][last]
         take = np.sort(order[two[of] | is_sure[order]])
-        return _per_row({"rk": rk[take]}, _flat(group, "pos")[take])
+        return pa.table({"rk": rk[take], "pos": _flat(group, "pos")[take]})
 
     packed = rows.mapInArrow(anchors, "r int, h array<long>, sure array<boolean>, rk array<long>, pos array<int>")
-    spots = packed.groupBy("r").applyInArrow(shared, "rk long, pos array<int>").groupBy("rk").agg(F.flatten(F.collect_list("pos")).alias("pos"))
+    spots = packed.groupBy("r").applyInArrow(shared, "rk long, pos int").groupBy("rk").agg(F.collect_list("pos").alias("pos"))
     # all columns go along, so this join and the last one read the same exchange of the texts.  Rows that share
     # rk by chance get each other's places too: those are only looked at
     met = whole.join(spots.withColumnRenamed("rk", "rk_"), F.col("rk") == F.col("rk_"))
@@ -248,11 +236,11 @@ def repeated_windows(whole: DataFrame, window: int = WINDOW) -> DataFrame:
         doc, gone = _flat(group, "doc"), _flat(group, "gone").astype(bool)
         order, first, of = _groups([_flat(group, "k1"), _flat(group, "k2"), doc])
         take = np.sort(order[(doc[order][first][of] < doc[order]) & ~gone[order] | gone[order]])
-        return _per_row({"rk": _flat(group, "rk")[take], "doc": doc[take]}, _flat(group, "pos")[take])
+        return pa.table({"rk": _flat(group, "rk")[take], "doc": doc[take], "pos": _flat(group, "pos")[take]})
 
     packed = met.mapInArrow(windows, "r int, k1 array<long>, k2 array<int>, gone array<boolean>, doc array<long>, rk array<long>, pos array<int>")
-    found = packed.groupBy("r").applyInArrow(repeated, "rk long, doc long, pos array<int>")
-    return found.groupBy("rk", "doc").agg(F.flatten(F.collect_list("pos")).alias("starts"))
+    found = packed.groupBy("r").applyInArrow(repeated, "rk long, doc long, pos int")
+    return found.groupBy("rk", "doc").agg(F.collect_list("pos").alias("starts"))
 
 
 def _kept(window: int):
