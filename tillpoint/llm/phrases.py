@@ -41,9 +41,9 @@ COVERED = (80, 100)
 #: A word ends at a blank or tab; a piece ends at these (fixed values).
 BLANKS, BREAKS = " \t", ".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
-CHUNK_BYTES = 4 << 20
-PENDING_BYTES = 48 << 20
-RANGE_PLACES = 2_000_000
+CHUNK_BYTES = 3 << 20
+PENDING_BYTES = 24 << 20
+RANGE_PLACES = 1_000_000
 SAMPLE_PLACES = 200_000
 END = "\n"   # closes each word of a key; no word holds it
 
@@ -162,16 +162,17 @@ def _prefixes(min_count: int):
     """A range's runs to its prefix counts: those of ``min_count``, and whatever may go on in a neighbouring range."""
 
     def merge(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        lists = [b.split(b"\n") for b in group.column("words").to_pylist()]
-        vocabulary, codes = _ranked(pa.array([x for ws in lists for x in ws], pa.large_binary()))
-        ones, twos, ns, at = [], [], [], 0
-        for i, ws in enumerate(lists):
-            to = np.r_[0, codes[at:at + len(ws)]]
-            at += len(ws)
+        lists = pc.split_pattern(group.column("words").combine_chunks().cast(pa.large_binary()), END.encode())
+        vocabulary, codes = _ranked(lists.flatten())
+        starts = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
+        ones, twos, ns = [], [], []
+        for i in range(len(lists)):
+            to = np.r_[0, codes[starts[i]:starts[i + 1]]]
             one, two = (group.column(c)[i].values.to_numpy() for c in ("one", "two"))
             ones.append(to[one >> 32] << 32 | to[one & 0xFFFFFFFF])
             twos.append(to[two >> 32] << 32 | to[two & 0xFFFFFFFF])
             ns.append(group.column("n")[i].values.to_numpy().astype(np.int64))
+        del lists, codes
         one, two, n = _summed(np.concatenate(ones), np.concatenate(twos), np.concatenate(ns))
         c = [one >> 32, one & 0xFFFFFFFF, two >> 32, two & 0xFFFFFFFF]
         keys, orders, counts = [""], [0], [int(n.sum())]
@@ -228,7 +229,7 @@ def frequent_phrases(rows: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     or more occurrences in its language, its words each closed by a line feed; and, with m = 0, all words' count."""
     spark = rows.sparkSession
     places = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6
-    ranges = int(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-places // RANGE_PLACES)))
+    ranges = int(max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-places // RANGE_PLACES)))
     runs = rows.mapInArrow(_runs(_splitters(rows, ranges, places)), "lang string, r int, words binary, one array<long>, two array<long>, n array<int>")
     merged = runs.groupBy("lang", "r").applyInArrow(_prefixes(min_count), "lang string, key string, m int, f long")
     return merged.groupBy("lang", "key", "m").agg(F.sum("f").alias("f")).filter((F.col("m") == 0) | (F.col("f") >= min_count))
