@@ -95,6 +95,19 @@ def q_t_join_theta(spark, sf):
         join_dfs={"campaigns": _campaigns_r(spark, sf)})
 
 
+@register("t_join_band", with_inputs(["f_orders"], """
+select l.order_id, l.total_amount, r.near_id, r.near_amount
+from f_orders l join (select order_id as near_id, total_amount as near_amount, customer_id as near_customer from f_orders) r
+  on r.near_amount between l.total_amount - 0.02 and l.total_amount + 0.02 and l.order_id < r.near_id and l.customer_id <> r.near_customer"""))
+def q_t_join_band(spark, sf):
+    """Orders of other customers with nearly the same amount: two large sides, met by bands of amounts."""
+    near = _orders(spark, sf).select(F.col("order_id").alias("near_id"), F.col("total_amount").alias("near_amount"), F.col("customer_id").alias("near_customer"))
+    return apply_transformations(_orders(spark, sf).select("order_id", "customer_id", "total_amount"), [
+        {"type": "join", "join_with": "near", "band": {"left": ["total_amount - 0.02", "total_amount + 0.02"], "right": "near_amount"},
+         "condition": "l.order_id < r.near_id and l.customer_id <> r.near_customer"}],
+        join_dfs={"near": near}).select("order_id", "total_amount", "near_id", "near_amount")
+
+
 # --------------------------------------------------------------------------- aggregation / pivot
 @register("t_aggregate", with_inputs(["f_sales"], """
 select return_flag, line_number, count(*) as n_lines, sum(quantity) as qty, max(price) as max_price

@@ -6,7 +6,9 @@ Supported ``type`` values and their keys:
 * ``filter``       — condition (SQL text; NULL drops the row)
 * ``join``         — join_with (key of ``join_dfs``), join_type (default
   "inner"; any Spark join type), condition (SQL text; the current frame is
-  aliased ``l`` and the other one ``r``)
+  aliased ``l`` and the other one ``r``); band {left, right} joins overlapping
+  ranges, each an expression or a pair (low, high) over the side's columns,
+  by bands instead of comparing all pairs (condition: a further test)
 * ``aggregate``    — group_by (name or list; empty = global), aggregations
   (list of SQL aggregate texts)
 * ``pivot``        — pivot_col, values (optional), group_by, aggregations
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
+from tillpoint.operators.bandjoin import band_join
 from tillpoint.operators.sequencing import split_window
 
 FRAME_TOKENS = {
@@ -101,11 +104,12 @@ def filter_rows(df: DataFrame, t: Mapping, **_) -> DataFrame:
     return df.filter(_expr(t["condition"]))
 
 
-def _has_equality(cond) -> bool:
-    """Does the condition compare a column of one side with one of the other for equality?"""
-    name = r"(?:([A-Za-z_]\w*)\.)?(`[^`]+`|[A-Za-z_]\w*)"
-    found = re.findall(rf"(?<![\w.<>!]){name}\s*(?:<=>|==|=)\s*{name}(?![\w(])", cond or "")
-    return any((a, x) != (b, y) and (a != b or not a) for a, x, b, y in found)
+def _compares_every_pair(joined: DataFrame) -> bool:
+    """Does Spark find no equality between the sides by which rows could meet?  Asked of the analysed plan, so
+    an equality under an OR doesn't count and one of expressions does."""
+    plan = joined._jdf.queryExecution().analyzed()
+    keys = joined.sparkSession._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys
+    return plan.nodeName() == "Join" and not keys.unapply(plan).isDefined()
 
 
 def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = None, **_) -> DataFrame:
@@ -115,13 +119,17 @@ def join(df: DataFrame, t: Mapping, join_dfs: Mapping[str, DataFrame] | None = N
     how = t.get("join_type", "inner")
     other = join_dfs[name]
     cond = t.get("condition")
+    if t.get("band"):
+        return band_join(df, other, t["band"]["left"], t["band"]["right"], cond, how)
     left, right = df.alias("l"), other.alias("r")
-    if (how == "cross" or not _has_equality(cond)) and not t.get("allow_cross", False):
-        # without an equality every pair of rows is looked at: output may grow with the product of both inputs
-        raise ValueError("a join without an equality needs allow_cross=True in its step")
     if how == "cross" or not cond:
-        return left.crossJoin(right) if not cond else left.join(right, on=_expr(cond), how="cross")
-    return left.join(right, on=_expr(cond), how=how)
+        joined = left.crossJoin(right) if not cond else left.join(right, on=_expr(cond), how="cross")
+    else:
+        joined = left.join(right, on=_expr(cond), how=how)
+    if _compares_every_pair(joined) and not t.get("allow_cross", False):
+        # every pair of rows is looked at: output may grow with the product of both inputs
+        raise ValueError("a join without an equality needs a band, or allow_cross=True in its step")
+    return joined
 
 
 def aggregate(df: DataFrame, t: Mapping, **_) -> DataFrame:
