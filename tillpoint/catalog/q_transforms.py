@@ -7,6 +7,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tillpoint.catalog.common import exact_means
 from tillpoint.catalog.fixture_sql import with_inputs
 from tillpoint.catalog.registry import register
 from tillpoint.operators.transforms import apply_transformations
@@ -178,6 +179,41 @@ def q_t_window_frame(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("running_total", "last3_total")})
 
 
+@register("t_window_range_offset", with_inputs(["f_orders"], """
+select order_id, customer_id, total_amount, order_day,
+       round(sum(total_amount) over month, 6) as month_total, count(*) over month as month_orders,
+       max(total_amount) over (partition by customer_id order by order_day range between 90 preceding and 90 following) as season_max
+from (select *, cast(date_diff('day', DATE '1970-01-01', cast(order_date as date)) as integer) as order_day from f_orders) o
+window month as (partition by customer_id order by order_day range between 30 preceding and current row)"""))
+def q_t_window_range_offset(spark, sf):
+    """Frames by distance in days: thirty days back, and ninety days both ways."""
+    days = _orders(spark, sf).select("order_id", "customer_id", "total_amount", F.unix_date(F.to_date("order_date")).alias("order_day"))
+    spec = lambda start, end: {"partition_by": "customer_id", "order_by": "order_day", "frame": {"kind": "range", "start": start, "end": end}}
+    out = apply_transformations(days, [
+        {"type": "window", "column_name": "month_total", "function": "sum(total_amount)", "window_spec": spec(-30, 0)},
+        {"type": "window", "column_name": "month_orders", "function": "count(*)", "window_spec": spec(-30, 0)},
+        {"type": "window", "column_name": "season_max", "function": "max(total_amount)", "window_spec": spec(-90, 90)}])
+    return out.withColumn("month_total", F.round("month_total", 6))
+
+
+@register("t_window_ahead", with_inputs(["f_orders"], """
+select order_id, customer_id, total_amount, order_date,
+       round(sum(total_amount) over (partition by customer_id order by order_date, order_id rows between 1 following and 3 following), 6) as next3_total,
+       min(total_amount) over (partition by customer_id order by order_date, order_id rows between 2 preceding and 2 following) as around_min,
+       round(sum(total_amount) over upto, 6) / count(total_amount) over upto as mean_so_far, count(total_amount) over upto as n_so_far
+from f_orders window upto as (partition by customer_id order by order_date, order_id rows between unbounded preceding and current row)"""))
+def q_t_window_ahead(spark, sf):
+    """Frames that look ahead, frames around the row, and a running average."""
+    orders = _orders(spark, sf).select("order_id", "customer_id", "total_amount", "order_date")
+    spec = lambda start, end: {"partition_by": "customer_id", "order_by": ["order_date", "order_id"], "frame": {"start": start, "end": end}}
+    out = apply_transformations(orders, [
+        {"type": "window", "column_name": "next3_total", "function": "sum(total_amount)", "window_spec": spec(1, 3)},
+        {"type": "window", "column_name": "around_min", "function": "min(total_amount)", "window_spec": spec(-2, 2)},
+        {"type": "window", "column_name": "mean_so_far", "function": "avg(total_amount)", "window_spec": spec("unboundedPreceding", "currentRow")},
+        {"type": "window", "column_name": "n_so_far", "function": "count(total_amount)", "window_spec": spec("unboundedPreceding", "currentRow")}])
+    return exact_means(out.withColumn("next3_total", F.round("next3_total", 6)), {"mean_so_far": "n_so_far"})
+
+
 # --------------------------------------------------------------------------- UDFs
 def _priority_code(p):
     return None if p is None else p.split("-", 1)[0]

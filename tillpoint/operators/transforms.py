@@ -14,8 +14,9 @@ Supported ``type`` values and their keys:
 * ``pivot``        — pivot_col, values (optional), group_by, aggregations
 * ``window``       — window_spec {partition_by, order_by, frame {start, end}},
   function (SQL text such as "rank()" or "sum(x)", or a Column), column_name,
-  skew_safe (default True: ranking, lag/lead and running or k-preceding
-  sum/count are computed split across hot partition keys)
+  skew_safe (default True: ranking, lag/lead, running sum/count/average and
+  aggregates over frames of bounded distance, in rows or in values, are
+  computed split across hot partition keys)
 * ``udf``          — udf_name, function, input_cols, output_col, return_type
 * ``pandas_udf``   — pandas_udf_name, function, input_cols, output_col,
   return_type, function_type ("SCALAR" or "GROUPED_AGG"; a grouped
@@ -35,9 +36,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, DateType, DoubleType, NumericType, StringType
 
 from tillpoint.operators.bandjoin import band_join
+from tillpoint.operators.halo import halo_rows_window, halo_window
 from tillpoint.operators.sequencing import split_window
 
 FRAME_TOKENS = {
@@ -178,11 +180,63 @@ def _split_plan(t: Mapping):
     return None
 
 
+_AVERAGE = re.compile(r"^\s*(?:avg|mean)\s*\(\s*(`?\w+`?)\s*\)\s*$", re.I)
+_AGGREGATES = re.compile(r"^\s*(?:sum|avg|mean|min|max|count|stddev\w*|var\w*|collect_list|collect_set|first|last|bool_and|bool_or)\s*\(.*\)\s*$", re.I)
+
+
+def _halo_plan(df: DataFrame, t: Mapping):
+    """How an aggregate over a frame of bounded distance runs on split ranges: ("range", column, descending, start, end) or
+    ("rows", None, None, start, end); None where it can't."""
+    spec, fn = t["window_spec"], t["function"]
+    frame, order = spec.get("frame"), _as_list(spec.get("order_by"))
+    if not frame or not order or not _as_list(spec.get("partition_by")) or not isinstance(fn, str) or not _AGGREGATES.match(fn):
+        return None
+    start, end = _frame_bound(frame["start"]), _frame_bound(frame["end"])
+    if start <= Window.unboundedPreceding or end >= Window.unboundedFollowing or start > end:
+        return None
+    if frame.get("kind", "rows") == "rows":
+        return "rows", None, None, start, end
+    words = str(order[0]).lower().split()
+    name = str(order[0]).split()[0]
+    if len(order) != 1 or isinstance(order[0], Column) or name not in df.columns or "nulls" in words or \
+            not isinstance(df.schema[name].dataType, (NumericType, DateType)):
+        return None
+    return "range", name, "desc" in words, start, end
+
+
+def _running_average(df: DataFrame, t: Mapping) -> DataFrame | None:
+    """avg over everything up to the current row, as a running sum over a running count."""
+    m = _AVERAGE.match(t["function"]) if isinstance(t["function"], str) else None
+    if not m:
+        return None
+    parts = [dict(t, function=f"{f}({m.group(1)})", column_name=f"_avg_{f}") for f in ("sum", "count")]
+    plans = [_split_plan(p) for p in parts]
+    if None in plans or not all(p[0].startswith("running") for p in plans):
+        return None
+    both = _run_window_batch(df, {"steps": list(zip(parts, plans)), "range": plans[0][2]})
+    kind = df.select(_expr(t["function"]).over(window_spec(t["window_spec"])).alias("x")).schema["x"].dataType
+    mean = F.try_divide(F.col("_avg_sum").cast("double") if isinstance(kind, DoubleType) else F.col("_avg_sum"), F.col("_avg_count"))
+    return both.withColumn(t["column_name"], mean.cast(kind)).drop("_avg_sum", "_avg_count")
+
+
 def window(df: DataFrame, t: Mapping, **_) -> DataFrame:
-    """Window step.  Ranking, lag/lead and running sum/count over a
-    partitioned, ordered window run split across hot keys unless the step
-    sets ``skew_safe: False``; other functions use a plain Spark window."""
-    plan = _split_plan(t) if t.get("skew_safe", True) else None
+    """Window step.  Over a partitioned, ordered window these run split across hot
+    keys unless the step sets ``skew_safe: False``: ranking, lag/lead, running
+    sum/count/average, and any aggregate over a frame of bounded distance (rows or
+    values, backwards or ahead).  Other functions use a plain Spark window."""
+    safe = t.get("skew_safe", True)
+    plan = _split_plan(t) if safe else None
+    if plan is None and safe:
+        averaged = _running_average(df, t)
+        if averaged is not None:
+            return averaged
+        halo = _halo_plan(df, t)
+        if halo is not None:
+            kind, name, descending, start, end = halo
+            keys, made = _as_list(t["window_spec"]["partition_by"]), {t["column_name"]: _expr(t["function"])}
+            if kind == "range":
+                return halo_window(df, keys, name, start, end, made, descending)
+            return halo_rows_window(df, keys, [_sort_col(o) for o in _as_list(t["window_spec"]["order_by"])], start, end, made)
     if plan is None:
         return df.withColumn(t["column_name"], _expr(t["function"]).over(window_spec(t["window_spec"])))
     return _run_window_batch(df, {"steps": [(t, plan)], "range": plan[2] if plan[0].startswith("running") else None})

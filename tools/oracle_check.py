@@ -107,8 +107,8 @@ def main() -> int:
                     else:
                         rec["status"] = "MISMATCH"
                         ss, oo = rows_key(s2, True), rows_key(o2, True)
-                        diff_s = [r for r in ss if r not in set(oo)][:3]
-                        diff_o = [r for r in oo if r not in set(ss)][:3]
+                        diff_s = sorted(set(ss) - set(oo), key=repr)[:3]
+                        diff_o = sorted(set(oo) - set(ss), key=repr)[:3]
                         rec["cols"] = order
                         rec["spark_example"] = [repr(x) for x in diff_s]
                         rec["oracle_example"] = [repr(x) for x in diff_o]
