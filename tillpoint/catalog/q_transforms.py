@@ -267,6 +267,46 @@ def q_t_pandas_udaf(spark, sf):
          "output_col": "amount_spread", "return_type": "double"}])
 
 
+class Variance:
+    """Population variance from counts, means and squared deviations, merged pairwise."""
+
+    state = "n long, mean double, m2 double"
+
+    def init(self):
+        return 0, 0.0, 0.0
+
+    def update(self, values):
+        x = values.drop_null().to_numpy(zero_copy_only=False)
+        if not len(x):
+            return self.init()
+        mean = float(x.mean())
+        return len(x), mean, float(((x - mean) ** 2).sum())
+
+    def merge(self, states):
+        n, mean, m2 = self.init()
+        for k, other, q in states:
+            if k:
+                gap = other - mean
+                m2 += q + gap * gap * n * k / (n + k)
+                mean += gap * k / (n + k)
+                n += k
+        return n, mean, m2
+
+    def finish(self, state):
+        n, _, m2 = state
+        return m2 / n if n else None
+
+
+@register("t_arrow_udaf", with_inputs(["f_orders"], """
+select order_status, priority, round(var_pop(total_amount), 4) as amount_variance from f_orders group by order_status, priority"""))
+def q_t_arrow_udaf(spark, sf):
+    """A Python aggregate over a few large groups, folded in parts."""
+    out = apply_transformations(_orders(spark, sf), [
+        {"type": "pandas_udf", "pandas_udf_name": "amount_variance", "function": Variance(), "function_type": "MERGEABLE",
+         "group_by": ["order_status", "priority"], "input_cols": ["total_amount"], "output_col": "amount_variance", "return_type": "double"}])
+    return out.withColumn("amount_variance", F.round("amount_variance", 4))
+
+
 @register("t_schema_change", with_inputs(["f_orders"], """
 select order_id as id, customer_id, order_status as status, total_amount, order_date, shipped_date,
        cast(promised_sla_hours as integer) as promised_sla_hours, cast(campaign_id as varchar) as campaign_id

@@ -19,8 +19,9 @@ Supported ``type`` values and their keys:
   computed split across hot partition keys)
 * ``udf``          — udf_name, function, input_cols, output_col, return_type
 * ``pandas_udf``   — pandas_udf_name, function, input_cols, output_col,
-  return_type, function_type ("SCALAR" or "GROUPED_AGG"; a grouped
-  aggregate needs group_by or window_spec.partition_by)
+  return_type, function_type ("SCALAR", "GROUPED_AGG" or "MERGEABLE"; a grouped
+  aggregate needs group_by or window_spec.partition_by; MERGEABLE takes an
+  object with init, update, merge and finish and folds groups in parts)
 * ``schema_change`` — changes {column: {drop, new_name, new_type}}
 
 Each step is a lazy DataFrame transformation; the whole list becomes one
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, NumericType, StringType
 
+from tillpoint.operators.arrowagg import arrow_aggregate
 from tillpoint.operators.bandjoin import band_join
 from tillpoint.operators.halo import halo_rows_window, halo_window
 from tillpoint.operators.sequencing import split_window
@@ -266,7 +268,8 @@ def _make_pandas_udf(fn, rtype, kind: str):
 
 def pandas_udf(df: DataFrame, t: Mapping, **_) -> DataFrame:
     """Vectorised UDF.  SCALAR maps Series → Series; GROUPED_AGG reduces
-    Series → scalar per group (``group_by``) or per window partition."""
+    Series → scalar per group (``group_by``) or per window partition.  MERGEABLE
+    folds each group in parts (see ``operators.arrowagg``)."""
     kind = str(t.get("function_type", "SCALAR")).upper()
     fn = t["function"]
     rtype = t["return_type"]
@@ -280,6 +283,8 @@ def pandas_udf(df: DataFrame, t: Mapping, **_) -> DataFrame:
         if t.get("group_by") is not None:
             return df.groupBy(*_as_list(t["group_by"])).agg(u(*_udf_args(t)).alias(t["output_col"]))
         return df.withColumn(t["output_col"], u(*_udf_args(t)).over(window_spec(t["window_spec"])))
+    if kind == "MERGEABLE":
+        return arrow_aggregate(df, _as_list(t.get("group_by")), _as_list(t["input_cols"]), fn, t["output_col"], rtype)
     raise ValueError(f"unsupported pandas_udf function_type {kind!r}")
 
 
