@@ -10,6 +10,9 @@ from tillpoint.catalog.registry import register
 from tillpoint.operators import experiments as X
 from tillpoint.operators import geo as G
 from tillpoint.operators import marketing as M
+from tillpoint.operators import sketches as K
+from tillpoint.operators.sequencing import split_window
+from tillpoint.session import cut_lineage, scratch_path
 from tillpoint.sources import fixtures as fx
 
 _RFM_BASE = f"""
@@ -29,6 +32,32 @@ def q_rfm_scores(spark, sf):
     return M.rfm_scores(fx.customers(spark, sf), fx.orders(spark, sf), fx.AS_OF)
 
 
+@register("rfm_scores_sketch", with_inputs(["f_orders", "f_customers"], """
+select customer_id, cast(date_diff('day', cast(max(order_date) as date), cast(TIMESTAMP '2002-01-01 00:00:00' as date)) as integer) as recency_days,
+       count(*) as frequency, round(sum(total_amount), 6) as monetary, true as scores_within_error
+from f_orders where customer_id in (select customer_id from f_customers) group by customer_id"""))
+def q_rfm_scores_sketch(spark, sf):
+    """Scores from stored daily sketches.  Beside each customer's measures stands whether the scores lie where the exact
+    ranks allow, given the sketches' rank error (the cut that a score claims may be off by that much)."""
+    orders = fx.orders(spark, sf)
+    days = orders.groupBy("customer_id").agg(F.to_date(F.max("order_date")).alias("day"))
+    base = cut_lineage(M.rfm_base(fx.customers(spark, sf), orders, fx.AS_OF).join(days, "customer_id"))
+    path = scratch_path(spark, "rfm-days")
+    K.daily_sketches(base, "day").write.parquet(path)
+    scored = K.rfm_scores_sketch(base.drop("day"), spark.read.parquet(path))
+    total = base.count()
+    for measure, score, descending in (("recency_days", "r_score", True), ("frequency", "f_score", False), ("monetary", "m_score", False)):
+        # per value: the share of customers before it and up to it, in the order of the score
+        sizes = base.groupBy(F.col(measure).alias("v")).agg(F.count("*").alias("n"))
+        by = F.col("v").desc() if descending else F.col("v").asc()
+        upto = split_window(sizes.withColumn("one", F.lit(1)), ["one"], [by], [("running_sum", "upto", "n")]).select(
+            F.col("v").alias(f"v_{score}"), ((F.col("upto") - F.col("n")) / total).alias(f"lo_{score}"), (F.col("upto") / total).alias(f"hi_{score}"))
+        scored = scored.join(upto, F.col(measure) == F.col(f"v_{score}"))
+    slack = 2 * K.RANK_ERROR
+    fits = [(F.col(f"hi_{s}") >= (F.col(s) - 1) / 5 - slack) & (F.col(f"lo_{s}") <= F.col(s) / 5 + slack) for s in ("r_score", "f_score", "m_score")]
+    return scored.select("customer_id", "recency_days", "frequency", "monetary", (fits[0] & fits[1] & fits[2]).alias("scores_within_error"))
+
+
 @register("rfm_scores_approx")
 def q_rfm_scores_approx(spark, sf):
     return M.rfm_scores_approx(fx.customers(spark, sf), fx.orders(spark, sf), fx.AS_OF)
