@@ -130,6 +130,20 @@ def q_dynamic_partition_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("compact_small_files", with_inputs(["f_orders"], "select *, 'kept' as large_file from f_orders"))
+def q_compact_small_files(spark, sf):
+    """Small files packed by size in place; the content is unchanged and the large file keeps its name."""
+    o = fx.orders(spark, sf)
+    path = scratch_path(spark, "packed")
+    o.filter("order_id % 2 = 0").repartition(24, "order_id").write.parquet(path)
+    o.filter("order_id % 2 = 1").coalesce(1).write.mode("append").parquet(path)
+    listed = lambda: spark.read.format("binaryFile").load(path).select("path", "length")
+    large = listed().orderBy(F.desc("length")).first()
+    done = K.compact_small_files(spark, path, large["length"])
+    kept = listed().filter(F.col("path") == large["path"]).count() == 1 and done["made"] < done["packed"]
+    return spark.read.parquet(path).withColumn("large_file", F.lit("kept" if kept else "lost"))
+
+
 @register("compact_roundtrip", with_inputs(["f_orders"], "select * from f_orders"))
 def q_compact_roundtrip(spark, sf):
     """Many small files rewritten as few; content unchanged."""

@@ -15,8 +15,7 @@ is estimated at once with the Hannan–Rissanen two-stage least squares method
 
 These estimates differ from exact maximum likelihood (they are its usual
 starting values).  Series with fewer than ``min_points`` points get NULL.
-Lagged values come from exact per-series positions (``sequence_within_groups``)
-regrouped on (series, position); the sums are grouped aggregates combined
+Lagged values come from the split window; each stage is a grouped sum combined
 map-side.  No step holds a whole series in one task, so one very long series
 does not serialise the job.
 """
@@ -28,7 +27,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.operators.sequencing import sequence_within_groups
+from tillpoint.operators.sequencing import split_window
+from tillpoint.session import cut_lineage
 
 CLIP = 0.99
 
@@ -37,55 +37,46 @@ def _clip(c):
     return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), c))
 
 
-def _lagged(series: DataFrame, key: str, time_col: str, value_col: str, depth: int = 3) -> DataFrame:
-    """(key, t, y0 … y_depth): the value and its ``depth`` predecessors.
+def _lagged(series: DataFrame, key: str, time_col: str, value_col: str) -> DataFrame:
+    """(key, t, y0, d, d1, d2): the exact position in the series, the value, its difference and the two before it.
 
-    ``t`` is the exact position in the series (skew-safe numbering); every
-    row is sent to the ``depth + 1`` positions that need it and regrouped on
-    (key, t) — groups of at most depth + 1 rows, so one long series is spread
-    over many tasks instead of one window partition.
+    Positions and lags come from the split window, so a long series is spread over many tasks.
     """
-    seq = sequence_within_groups(series.select(key, time_col, F.col(value_col).cast("double").alias("y")),
-                                 [key], [time_col], rn_col="t")
-    fan = seq.select(key, F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("j"), "t", "y") \
-        .select(key, (F.col("t") + F.col("j")).alias("t"), "j", "y")
-    lagged = fan.groupBy(key, "t").agg(*[F.max(F.when(F.col("j") == i, F.col("y"))).alias(f"y{i}") for i in range(depth + 1)],
-                                       F.min("j").alias("_own"))
-    # past the end of a series only lags land
-    return lagged.filter(F.col("_own") == 0).drop("_own")
+    rows = series.select(key, time_col, F.col(value_col).cast("double").alias("y0"))
+    lags = [("lag", f"y{i}", "y0", i) for i in (1, 2, 3)]
+    seq = split_window(rows, [key], [F.col(time_col).asc()], [("row_number", "t"), *lags])
+    return seq.select(key, "t", "y0", *[(F.col(f"y{i}") - F.col(f"y{i + 1}")).alias(d) for i, d in enumerate(("d", "d1", "d2"))])
 
 
 def arima111_params(series: DataFrame, key: str = "product_id", time_col: str = "date",
                     value_col: str = "sales", min_points: int = 8) -> DataFrame:
-    lg = _lagged(series, key, time_col, value_col).withColumns(
-        {"d": F.col("y0") - F.col("y1"), "d1": F.col("y1") - F.col("y2"), "d2": F.col("y2") - F.col("y3")})
+    # read once per stage: each stage sums residuals of the one before row by row.  (Sums of raw products would do
+    # in one pass, but their differences lose all digits when a series grows steadily.)
+    lg = cut_lineage(_lagged(series, key, time_col, value_col))
 
-    def products(x, y, rows=None):
-        return F.sum(F.col(x) * F.col(y) if rows is None else F.when(rows, F.col(x) * F.col(y)))
+    def with_estimates(estimates: DataFrame) -> DataFrame:
+        return lg.join(estimates.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
-    # Both least-squares stages, the residual sum and the last residual are polynomials in the estimates
-    # over these sums, so one aggregate per series is all that meets the data.
+    def products(x, y):
+        return F.sum(F.col(x) * F.col(y))
+
+    first = lg.groupBy(key).agg(F.try_divide(products("d", "d1"), products("d1", "d1")).alias("a"))     # NULL for a constant series
+    e1 = F.col("d1") - F.col("a") * F.col("d2")                    # the lagged residual of that fit
     ok = F.col("d2").isNotNull()
-    g = lg.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_points"), products("d", "d1").alias("a_num"), products("d1", "d1").alias("a_den"),
-        *[products(x, y, ok).alias(f"s_{x}_{y}") for x, y in (("d", "d"), ("d", "d1"), ("d", "d2"), ("d1", "d1"), ("d1", "d2"), ("d2", "d2"))],
-        F.count(F.when(ok, F.lit(1))).alias("n_resid"), F.max_by(F.struct("y0", "d", "d1", "d2"), "t").alias("end"))
-    a = F.col("a")
-    g = g.withColumn("a", F.try_divide("a_num", "a_den"))          # AR(1) on the differences; NULL for a constant series
-    g = g.withColumns({                                            # e1 = d1 - a * d2, the lagged residual of that fit
-        "sxx": F.col("s_d1_d1"), "sxd": F.col("s_d_d1"),
-        "see": F.col("s_d1_d1") - 2 * a * F.col("s_d1_d2") + a * a * F.col("s_d2_d2"),
-        "sxe": F.col("s_d1_d1") - a * F.col("s_d1_d2"), "sed": F.col("s_d_d1") - a * F.col("s_d_d2")})
+    second = with_estimates(first).filter(ok).withColumn("e1", e1).groupBy(key).agg(
+        F.first("a").alias("a"), products("d1", "d1").alias("sxx"), products("e1", "e1").alias("see"), products("d1", "e1").alias("sxe"),
+        products("d1", "d").alias("sxd"), products("e1", "d").alias("sed"))
     det = F.col("sxx") * F.col("see") - F.col("sxe") * F.col("sxe")
-    g = g.withColumns({
-        "phi": _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)),
-        "theta": _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det))})
-    phi, theta = F.col("phi"), F.col("theta")
-    sse = (F.col("s_d_d") + phi * phi * F.col("sxx") + theta * theta * F.col("see") - 2 * phi * F.col("sxd")
-           - 2 * theta * F.col("sed") + 2 * phi * theta * F.col("sxe"))
-    resid = F.col("end.d") - phi * F.col("end.d1") - theta * (F.col("end.d1") - a * F.col("end.d2"))
-    g = g.withColumns({"sse": F.greatest(sse, F.lit(0.0)), "last_value": F.col("end.y0"), "last_diff": F.col("end.d"),
-                       "last_resid": F.when(F.col("end.d2").isNotNull(), resid)})
+    second = second.select(
+        key, "a", _clip(F.try_divide(F.col("sxd") * F.col("see") - F.col("sed") * F.col("sxe"), det)).alias("phi"),
+        _clip(F.try_divide(F.col("sed") * F.col("sxx") - F.col("sxd") * F.col("sxe"), det)).alias("theta"))
+    estimates = lg.select(key).distinct().withColumnRenamed(key, "_k").join(second, F.col("_k").eqNullSafe(F.col(key)), "left").select(
+        F.col("_k").alias(key), "a", "phi", "theta")
+    resid = F.col("d") - F.col("phi") * F.col("d1") - F.col("theta") * e1
+    g = with_estimates(estimates).withColumn("u", F.when(ok, resid)).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_points"), F.first("phi").alias("phi"), F.first("theta").alias("theta"), F.sum(F.col("u") * F.col("u")).alias("sse"),
+        F.count(F.when(ok, F.lit(1))).alias("n_resid"), F.max_by(F.struct("y0", "d", "u"), "t").alias("end"))
+    g = g.withColumns({"last_value": F.col("end.y0"), "last_diff": F.col("end.d"), "last_resid": F.col("end.u")})
     n = F.col("n_resid")
     sigma2 = F.try_divide(F.col("sse"), n)             # NULL for a constant or too short series
     aic = n * F.log(sigma2) + n * F.lit(1.0 + math.log(2 * math.pi)) + F.lit(6.0)

@@ -9,10 +9,12 @@ executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.utils import AnalysisException
 
 WRITE_MODES = ("overwrite", "append")
@@ -55,7 +57,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
             raise ValueError("schema differs from the existing table; pass overwrite_schema=True")
     if compact_files:
         cols = list(partition_by or [])
-        salt = (F.rand(seed=7) * compact_files).cast("int")
+        # from the row itself, not at random: a repeated task must deal its rows alike
+        plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+        salt = F.pmod(F.xxhash64(*plain), F.lit(compact_files))
         df = df.repartition(*(F.col(c) for c in cols), salt) if cols else df.repartition(compact_files)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
@@ -78,6 +82,67 @@ def compact(spark: SparkSession, src: str, dst: str, files: int, partition_by: S
     write_table(df, dst, "overwrite", partition_by=partition_by, fmt=fmt, compact_files=files)
 
 
+def small_file_bins(spark: SparkSession, path: str, target_bytes: int) -> list[list[tuple[str, str]]]:
+    """Groups of small files to become one file each: files of one folder, first fit by falling size, at most
+    ``target_bytes`` together; each file as its path and its URI.  Files of ``target_bytes`` or more and lone small files are left alone.
+
+    Sizes come from the file listing; no file is opened.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+              .select("path", "length", F.col("_metadata.file_path").alias("uri")).filter(F.col("length") < target_bytes).collect())     # file names, as any listing holds
+    folders: dict[str, list] = {}
+    for f in listed:
+        folders.setdefault(f["path"].rpartition("/")[0], []).append((f["length"], f["path"], f["uri"]))
+    bins = []
+    for _, files in sorted(folders.items()):
+        own: list[list] = []
+        for size, name, uri in sorted(files, key=lambda x: (-x[0], x[1])):
+            room = next((b for b in own if b[0] + size <= target_bytes), None)
+            if room is None:
+                own.append([size, [(name, uri)]])
+            else:
+                room[0] += size
+                room[1].append((name, uri))
+        bins += [names for _, names in own if len(names) > 1]
+    return bins
+
+
+def compact_small_files(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> dict[str, int]:
+    """Pack the small files of the parquet table at ``path`` into files of about ``target_bytes``, in place.
+
+    Only files that share a bin are rewritten; the others keep their names.  The new files are written whole into a folder
+    that readers don't see, then moved beside the old ones, and only then are the old ones removed, so a failure loses no row;
+    like any rewrite in place it must not run beside readers or writers.  Returns how many files were packed and made.
+    """
+    bins = small_file_bins(spark, path, target_bytes)
+    if not bins:
+        return {"packed": 0, "made": 0}
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(conf)
+    staging = f"{path.rstrip('/')}/_compact-{uuid.uuid4().hex[:12]}"
+    of_file = spark.createDataFrame([(uri, k) for k, names in enumerate(bins) for _, uri in names], "_file string, _bin int")
+    rows = spark.read.option("basePath", path).parquet(*[n for names in bins for n, _ in names])
+    schema = spark.read.parquet(bins[0][0][0]).columns
+    # one row per listed file: the mapping is as small as the listing
+    tagged = rows.select(*[F.col(f"`{c}`") for c in schema], F.col("_metadata.file_path").alias("_path")).join(
+        F.broadcast(of_file), F.col("_path") == F.col("_file")).drop("_path", "_file")
+    tagged.repartition(len(bins), "_bin").write.partitionBy("_bin").parquet(staging)
+    made = 0
+    for k, names in enumerate(bins):
+        folder = names[0][0].rpartition("/")[0]
+        for f in fs.globStatus(at(f"{staging}/_bin={k}/part-*")):
+            # a task that wrote several bins gave them one name
+            if not fs.rename(f.getPath(), at(f"{folder}/part-{uuid.uuid4().hex}.parquet")):
+                raise OSError(f"{f.getPath()} could not be moved into {folder}")
+            made += 1
+    for names in bins:
+        for name, _ in names:
+            fs.delete(at(name), False)
+    fs.delete(at(staging), True)
+    return {"packed": sum(map(len, bins)), "made": made}
+
+
 def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                    mode: str = "overwrite", compression: str = "snappy") -> None:
     writer = df.write.format("parquet").option("compression", compression).mode(mode)
