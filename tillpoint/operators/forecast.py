@@ -34,7 +34,7 @@ CLIP = 0.99
 
 
 def _clip(c):
-    return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), c))
+    return F.when(c.isNotNull(), F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), c)))     # greatest and least pass over nulls
 
 
 def _lagged(series: DataFrame, key: str, time_col: str, value_col: str) -> DataFrame:
