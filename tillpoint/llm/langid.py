@@ -54,9 +54,13 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
     best, far = None, -1
     for _ in range(40):
         code = np.stack([pick.permutation(np.arange(n) % 2) for _ in range(bits)], 1).astype(np.int8)
-        near = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i)) if n <= 400 else 0
+        alike = (2.0 * code - 1) @ (2.0 * code - 1).T          # bits minus twice the distance, for all pairs at once
+        np.fill_diagonal(alike, -np.inf)
+        near = int((bits - alike.max()) / 2)
         if near > far:
             best, far = code, near
+    if far < 1:
+        raise ValueError(f"no {n} different codewords of {bits} bits were drawn")
     return best
 
 

@@ -8,8 +8,10 @@ most (gamma-1)/(gamma+1)).  Adding counts gives the same sketch in any order, so
 a task that runs twice changes nothing.  Each ratio's fence is the group's
 median plus or minus ``spread`` times the distance from the median to the
 quartile on the clean side, so up to half of a group may be junk before its
-fence moves far.  Groups of fewer than ``min_group`` documents use their
-language's merged sketch, then the merged sketch of all documents.  A document
+fence moves far.  A group's quantiles are drawn towards those of its language's
+merged sketch, and these towards the merged sketch of all documents, as if
+``prior`` documents of the wider kind belonged to it: every group's own sketch
+counts, by its own size, and nothing jumps at a number.  A document
 stays if it passes the base rules and every fence of its group, which are joined
 to it on (lang, source).
 """
@@ -28,7 +30,7 @@ from tillpoint.llm.common import fresh, text_batches, text_of
 from tillpoint.session import cut_lineage
 
 GAMMA = 1.02
-MIN_GROUP = 200
+PRIOR = 100
 WINDOW = 5
 #: ratio -> (least distance to the quartile, spread below the median or None, spread above the median)
 FENCES = {"symbols_per_word": (0.02, None, 5.0), "dup_line_share": (0.08, None, 5.0), "mean_word_chars": (0.25, 10.0, 10.0)}
@@ -113,7 +115,7 @@ def sketch_quantiles(sk: DataFrame, by: list[str], probs: dict[str, float], gamm
     return run.groupBy(*by, "metric").agg(F.max("total").alias("total"), *at.values())
 
 
-def fences(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def fences(rows: DataFrame, prior: int = PRIOR) -> DataFrame:
     """(lang, source, lo_<ratio>, hi_<ratio>): one row for every pair of ``rows`` (ratios over rows that pass the base)."""
     probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     sk = cut_lineage(sketch(rows.filter("not base_failed"), ["lang", "source"], list(FENCES)))
@@ -135,8 +137,12 @@ def fences(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         if t is None:   # no row passes the base rules: nothing to fence
             cols |= {f"lo_{m}": F.lit(None).cast("double"), f"hi_{m}": F.lit(None).cast("double")}
             continue
-        whole = F.struct(F.lit(t["total"]).cast("long").alias("total"), *[F.lit(float(t[q])).alias(q) for q in probs])
-        q = F.when(F.col(f"p_{m}.total") >= min_group, F.col(f"p_{m}")).when(F.col(f"l_{m}.total") >= min_group, F.col(f"l_{m}")).otherwise(whole)
+
+        def drawn(own: str, wider: dict, m=m) -> dict:
+            n, zero = F.coalesce(F.col(f"{own}_{m}.total"), F.lit(0)), F.lit(0.0)
+            return {q: (n * F.coalesce(F.col(f"{own}_{m}.{q}"), zero) + prior * wider[q]) / (n + prior) for q in probs}
+
+        q = drawn("p", drawn("l", {p: F.lit(float(t[p])) for p in probs}))
         up = F.greatest(q["q50"] - q["q25"], F.lit(least)) * F.lit(above)
         cols[f"hi_{m}"] = q["q50"] + up
         cols[f"lo_{m}"] = F.lit(None).cast("double") if below is None else q["q50"] - F.greatest(q["q75"] - q["q50"], F.lit(least)) * F.lit(below)
@@ -144,7 +150,7 @@ def fences(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 
 def judge(docs: DataFrame, keep: dict, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-          min_group: int = MIN_GROUP) -> DataFrame:
+          prior: int = PRIOR) -> DataFrame:
     """Per row of ``docs``: the columns ``keep``, all counts, base_failed and kept.
 
     Defined results: a null text has no words, so it fails the base rules; a null
@@ -155,7 +161,7 @@ def judge(docs: DataFrame, keep: dict, text_col: str = "text", lang_col: str = "
     cols = keep | {"lang": F.col(f"`{lang_col}`"), "source": F.col(f"`{source_col}`")}
     rows = cut_lineage(measure(docs, cols, text_col))
     rated = ratios(rows)
-    limits = cut_lineage(fences(rated, min_group).withColumnsRenamed({"lang": "f_lang", "source": "f_source"}))
+    limits = cut_lineage(fences(rated, prior).withColumnsRenamed({"lang": "f_lang", "source": "f_source"}))
     ok = F.lit(True)
     for m in FENCES:
         ok = ok & F.coalesce(F.col(m) <= F.col(f"hi_{m}"), F.lit(True)) & F.coalesce(F.col(m) >= F.col(f"lo_{m}"), F.lit(True))

@@ -114,7 +114,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality_sql() -> str:
     sym, dup, chars = (quality.FENCES[m] for m in ("symbols_per_word", "dup_line_share", "mean_word_chars"))
-    g, mg = quality.GAMMA, quality.MIN_GROUP
+    g, k = quality.GAMMA, quality.PRIOR
     spaces = r"\x20\x09-\x0D"
     return rf"""
 with d as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text from documents),
@@ -146,10 +146,13 @@ run as (select *, sum(n) over (partition by lvl, lang, source, metric order by b
                case when bucket = {quality.TINY} then 0.0 else 2.0 / ({g} + 1.0) * pow({g}::double, bucket::double) end as v from lv),
 q as (select lvl, lang, source, metric, max(total) as total, min(v) filter (cum >= ceil(0.25 * total)) as q25,
              min(v) filter (cum >= ceil(0.5 * total)) as q50, min(v) filter (cum >= ceil(0.75 * total)) as q75 from run group by all),
-pick as (select g.lang, g.source, q.metric, arg_min(struct_pack(q25 := q25, q50 := q50, q75 := q75), lvl) as t
-         from (select distinct lang, source from r) g join q on (lvl = 1 and g.lang is not distinct from q.lang and g.source is not distinct from q.source and total >= {mg})
-              or (lvl = 2 and g.lang is not distinct from q.lang and total >= {mg}) or lvl = 3
-         group by g.lang, g.source, q.metric),
+ql as (select g.lang, a.metric, {", ".join(f"(coalesce(o.total, 0) * coalesce(o.{x}, 0.0::double) + {k} * a.{x}) / (coalesce(o.total, 0) + {k}) as {x}" for x in ("q25", "q50", "q75"))}
+       from (select distinct lang from r) g cross join (select * from q where lvl = 3) a
+            left join (select * from q where lvl = 2) o on g.lang is not distinct from o.lang and a.metric = o.metric),
+qp as (select g.lang, g.source, a.metric, {", ".join(f"(coalesce(o.total, 0) * coalesce(o.{x}, 0.0::double) + {k} * a.{x}) / (coalesce(o.total, 0) + {k}) as {x}" for x in ("q25", "q50", "q75"))}
+       from (select distinct lang, source from r) g join ql a on g.lang is not distinct from a.lang
+            left join (select * from q where lvl = 1) o on g.lang is not distinct from o.lang and g.source is not distinct from o.source and a.metric = o.metric),
+pick as (select lang, source, metric, struct_pack(q25 := q25, q50 := q50, q75 := q75) as t from qp),
 f as (select lang, source,
              max(t.q50 + greatest(t.q50 - t.q25, {sym[0]}) * {sym[2]}) filter (metric = 's') as hi_s,
              max(t.q50 + greatest(t.q50 - t.q25, {dup[0]}) * {dup[2]}) filter (metric = 'd') as hi_d,
