@@ -4,6 +4,13 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 return the columns of the documents.  ``run`` writes each stage's result as
 Parquet into the shared folder and reads it again for the next one, so a lost
 executor repeats a stage's tasks only, never an earlier stage.
+
+Defined results of every stage: null and empty texts are empty documents (the
+quality rules drop them); repeated rows stay rows of their own until near-dedup
+keeps one of each group; an empty table gives an empty table; a text of any
+length is taken whole; a column that has the name of an operator's result keeps
+the document's values, and extra columns go along until the last stage, which
+returns ids, sources and pieces.
 """
 
 from __future__ import annotations
@@ -12,10 +19,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.llm import linededup, mixing, pieces, quality, simhash
-from tillpoint.llm.common import table
+from tillpoint.llm.common import fresh, table
 from tillpoint.session import scratch_path
 
 
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns that an operator would take for its own (``names``, without case) under other names, and the way back."""
+    own = {n.lower() for n in names}
+    moved = dict(zip((c for c in docs.columns if c.lower() in own), fresh(docs, *[f"aside_{c}" for c in docs.columns if c.lower() in own])))
+    return docs.withColumnsRenamed(moved), {new: old for old, new in moved.items()}
+
+
+def _same_columns(done: DataFrame, docs: DataFrame, back: dict[str, str], text_length: bool = False) -> DataFrame:
+    """``done`` with the columns of ``docs``, in order and under their own names; n_chars follows the text where it changed."""
+    there = {old: new for new, old in back.items()}
+    length = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
+    return done.select(*[length.alias(c) if text_length and c == "n_chars" else F.col(f"`{there.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the fences of their language and source."""
     return quality.keep_good(docs)
@@ -23,9 +44,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more documents share; n_chars follows the text."""
-    done = linededup.dedup_lines(docs)
-    cols = [F.length("text").cast(dict(docs.dtypes)[c]).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return done.select(*cols)
+    given, back = _aside(docs, "n_lines", "n_dropped")
+    return _same_columns(linededup.dedup_lines(given), docs, back, text_length=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +55,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson draws towards the sources' target weights, in shuffled order."""
-    mixed = mixing.mix(docs)
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    given, back = _aside(docs, "copy", "n_copies", "rate", "shuffle_key")
+    return _same_columns(mixing.mix(given), docs, back)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
