@@ -10,6 +10,7 @@ from tillpoint.catalog.registry import register
 from tillpoint.sources import fixtures as fx
 from tillpoint.streaming import clickstream as CS
 from tillpoint.streaming import panes as P
+from tillpoint.streaming import payload_sink as L
 from tillpoint.streaming import stateful as S
 
 WINDOW_KEYS = ["window_start", "window_end", "user_id", "page_category"]
@@ -43,3 +44,16 @@ def q_clickstream_panes(spark, sf):
     stream, out, ckpt = inbox_in_time_order(spark, sf, "clickstream_panes")
     CS.run_to_parquet(P.pane_aggregates(stream).drop("panes"), out, ckpt)
     return CS.flatten_window(spark.read.parquet(out))
+
+
+@register("stream_payload_sink", with_inputs(["f_orders"], """
+select order_id, customer_id, order_status, total_amount, priority from f_orders"""))
+def q_stream_payload_sink(spark, sf):
+    """Orders as a stream of JSON payloads into the sink, epoch by epoch, and parsed back from what was committed."""
+    orders = fx.orders(spark, sf).select("order_id", "customer_id", "order_status", "total_amount", "priority")
+    path, ckpt = CS.scratch(spark, "payload_log")
+    inbox = f"{path}_inbox"
+    orders.repartition(3, "order_id").write.parquet(inbox)
+    stream = CS.file_stream(spark, inbox, "*.parquet", orders.schema, 1)
+    L.run_to_payload_log(CS.kafka_payload(stream), path, ckpt)
+    return L.read_payload_log(spark, path).select(F.from_json("value", orders.schema).alias("r")).select("r.*")
