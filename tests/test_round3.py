@@ -70,3 +70,20 @@ def test_steady_growth_keeps_its_digits(spark):
     for key, (phi, theta, sigma2) in want.items():
         assert abs(got[key]["phi"] - phi) < 1e-5 and abs(got[key]["theta"] - theta) < 1e-4 and abs(got[key]["sigma2"] / sigma2 - 1) < 1e-4
     assert got[90]["phi"] is None and got[91]["phi"] is None and got[91]["last_value"] == 1.0 and len(got) == 6
+
+
+def test_the_job_ends_with_the_model_run(spark):
+    from tillpoint.operators import customers as C
+    from tillpoint.plans.retail_job import run_retail_job
+    from tillpoint.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    sources = {"customers": C.scalar_columns(fx.customers_raw(spark, sf)), "products": fx.products(spark, sf), "orders": fx.orders(spark, sf),
+               "sales": fx.sales(spark, sf), "payments": fx.payments(spark, sf), "sessions": fx.sessions(spark, sf)}
+    out = scratch_path(spark, "job6")
+    first = run_retail_job(spark, sources, out, fx.AS_OF, orders_table="m1")["dim_customers"].collect()
+    newer = sources["customers"].filter("customer_id % 5 = 0").withColumns({"last_name": F.lit("Moved"), "updated_at": F.lit(fx.AS_OF).cast(dict(sources["customers"].dtypes)["updated_at"])})
+    again = run_retail_job(spark, sources | {"customers": sources["customers"].union(newer)}, out, fx.AS_OF, orders_table="m2")["dim_customers"].collect()
+    assert len(first) == len(again) == len({r["customer_id"] for r in again}) > 50
+    assert {r["last_name"] for r in again if r["customer_id"] % 5 == 0} == {"Moved"}
+    assert {r for r in first if r["customer_id"] % 5} == {r for r in again if r["customer_id"] % 5}

@@ -42,6 +42,9 @@ select {src}.customer_id, first_name, last_name, email, phone, registration_date
 from {src} left join sums using (customer_id) left join top_device using (customer_id)
 {where}"""
 
+#: Over the valid customers of the batch job, which carry no maps.
+_DIM_SCALARS = "select * exclude (demographics, preferences) from (" + _DIM_BODY.format(src="valid", where="") + ")"
+
 _INPUTS = ["f_customers", "f_orders", "f_payments", "f_sessions"]
 
 

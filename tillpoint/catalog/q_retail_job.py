@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from tillpoint.catalog.common import exact_means, round_cols
 from tillpoint.catalog.fixture_sql import with_inputs
+from tillpoint.catalog.q_models import _DIM_SCALARS, _FACTS, _SUMS, _TOP
 from tillpoint.catalog.registry import register
 from tillpoint.operators import customers as C
 from tillpoint.plans.retail_job import run_retail_job
@@ -12,12 +13,13 @@ from tillpoint.session import scratch_path
 from tillpoint.sources import fixtures as fx
 
 
-def _run(spark, sf):
+def _run(spark, sf, **more):
     sources = {
         "customers": C.scalar_columns(fx.customers_raw(spark, sf)),
         "products": fx.products(spark, sf),
         "orders": fx.orders(spark, sf),
         "sales": fx.sales(spark, sf),
+        **more,
     }
     out = scratch_path(spark, "retail_job")
     return run_retail_job(spark, sources, out, fx.AS_OF, orders_table="orders_" + out.rsplit("-", 1)[-1])
@@ -63,6 +65,12 @@ def q_retail_job_clv(spark, sf):
     return exact_means(round_cols(out, ["total_spend"]), {"avg_order_value": "order_count"})
 
 
+@register("retail_job_dim_customers", with_inputs(["f_customers_raw", "f_orders", "f_payments", "f_sessions"], _DIM_SCALARS, ctes=[_VALID, _FACTS, _TOP, _SUMS]))
+def q_retail_job_dim_customers(spark, sf):
+    """The job's last stage: the customer dimension over the customers that it loaded."""
+    return _run(spark, sf, payments=fx.payments(spark, sf), sessions=fx.sessions(spark, sf))["dim_customers"]
+
+
 @register("retail_job_products", with_inputs(["f_products", "f_sales"], """
 select p.product_id, p.name, p.category, s.units_sold, s.revenue, s.order_count,
        s.revenue / nullif(s.units_sold, 0) as avg_unit_price,

@@ -16,7 +16,9 @@ date.  Stage order follows the original job:
    table properties; lifetime value as a plain table;
 5. export — customers as snappy parquet partitioned by loyalty tier, and,
    when a JDBC URL is given, products (overwrite) and orders (append) to the
-   warehouse with 100 000-row batches and 4 000-character strings.
+   warehouse with 100 000-row batches and 4 000-character strings;
+6. model run — where payments and sessions are given, the customer dimension
+   over the valid customers, merged into that of the last run.
 
 Returns the loaded tables, read back from storage.
 """
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from tillpoint.operators import customers as C
 from tillpoint.operators import orders as O
 from tillpoint.operators import products as P
+from tillpoint.plans.dim_customers import dim_customers, incremental_dim_customers
 from tillpoint.session import cut_lineage
 from tillpoint.sinks import jdbc as J
 from tillpoint.sinks import tables as K
@@ -82,6 +85,18 @@ def run_retail_job(spark: SparkSession, sources: Mapping[str, DataFrame], out_di
         J.write_jdbc(performance, jdbc_url, "dim_products", "overwrite", WAREHOUSE_OPTIONS)
         J.write_jdbc(orders_t, jdbc_url, "fact_orders", "append", WAREHOUSE_OPTIONS)
 
+    # 6. model run: the customer dimension over what was loaded, merged into the one of the last run
+    model = {}
+    if "payments" in sources and "sessions" in sources:
+        path, facts = f"{out_dir}/processed/dim_customers", (orders, sources["payments"], sources["sessions"])
+        target = K.read_if_any(spark, path)
+        if target is None:
+            dimension = dim_customers(valid, *facts, as_of)
+        else:   # read and replaced in one run, so the merge is written aside first
+            dimension = cut_lineage(incremental_dim_customers(target, valid, *facts, as_of))
+        K.write_table(dimension, path, "overwrite")
+        model["dim_customers"] = dimension
+
     def back(df: DataFrame, path: str) -> DataFrame:
         # with the written schema: a table without rows has no file to infer one from
         return spark.read.schema(df.schema).parquet(f"{out_dir}/{path}")
@@ -92,4 +107,4 @@ def run_retail_job(spark: SparkSession, sources: Mapping[str, DataFrame], out_di
         "orders": spark.table(orders_table),
         "customer_lifetime_value": back(clv, "processed/customer_lifetime_value"),
         "invalid_customers": back(rejected, "staging/invalid_customers"),
-    }
+    } | {name: back(df, f"processed/{name}") for name, df in model.items()}

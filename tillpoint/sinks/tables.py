@@ -27,6 +27,12 @@ def _existing_schema(spark: SparkSession, path: str, fmt: str):
         return None
 
 
+def read_if_any(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None where there is none yet."""
+    schema = _existing_schema(spark, path, fmt)
+    return None if schema is None else spark.read.format(fmt).schema(schema).load(path)
+
+
 def _shape(schema, partition_by: Sequence[str] | None):
     """Data columns with their types, in order, and partition columns by name (their types are
     inferred from directory names when a table is read)."""
