@@ -116,8 +116,7 @@ def _chi_sql(fixture: str) -> str:
 select round(chi_square, 6) as chi_square, dof, n_variants, round(p, 6) as p_value, p < 0.05 as is_significant
 from (select *, case when dof % 2 = 0
         then exp(-h) * (select sum(pow(h, i) / factorial(cast(i as integer))) from range(0, dof // 2) r(i))
-        else 1 - sign(sqrt(h)) * (1 - (((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t
-                                          - 0.284496736) * t + 0.254829592) * t) * exp(-h))
+        else 1 - 2 / sqrt(pi()) * exp(-h) * sqrt(h) * (select sum(pow(4 * h, n) * gamma(n + 1) / gamma(2 * n + 2)) from range(0, 80) r(n))
              + exp(-h) * coalesce((select sum(pow(h, i - 0.5) / gamma(i + 0.5))
                                    from range(1, (dof - 1) // 2 + 1) r(i)), 0)
         end as p
@@ -134,7 +133,7 @@ from (select *, case when dof % 2 = 0
                                - case when dof = 1 then least(0.5, abs(observed - expected)) else 0 end, 2)
                            / expected) as chi_square,
                        max(dof) as dof, max(n_variants) as n_variants from e"""),
-        ("hh", "select *, chi_square / 2 as h, 1.0 / (1.0 + 0.3275911 * sqrt(chi_square / 2)) as t from stat"),
+        ("hh", "select *, chi_square / 2 as h from stat"),
     ])
 
 
