@@ -18,7 +18,7 @@ the data.  ``sequence_within_groups`` computes the same ``row_number`` and
    ending with that key.
 
 The ordering must be total (include a unique tie-break).  The numbered
-frame is checkpointed to the shared folder before the summary is taken:
+frame is written to the shared folder before the summary is taken:
 range bounds come from sampling, and every re-execution of a range exchange
 samples again, so all consumers must read one materialised copy.
 """
@@ -30,7 +30,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.session import cut_lineage
+from tillpoint.session import cut_lineage, written
 
 
 # Supported per-row outputs of ``split_window`` (kind, output column, input column, k):
@@ -95,8 +95,8 @@ def split_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[Column],
             c = F.lit(1) if col in (None, "*") else F.col(col)
             local[f"_o{i}"] = F.count(c).over(wf)
             local[f"_t{i}"] = F.count(c).over(whole)
-    # one materialised copy: each re-run range exchange would sample new bounds
-    s = cut_lineage(s.withColumns(local))
+    # one materialised copy: each re-run range exchange would sample new bounds.  Its summaries read key columns only
+    s = written(s.withColumns(local), "split-window")
 
     # ---- per-partition summary: first and last group, carries of the last group
     far = {i for i, (kind, _, _, k) in enumerate(outputs) if kind in ("lag", "lead") and int(k or 1) > 1}

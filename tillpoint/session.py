@@ -70,6 +70,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: a lineage cut whose later reads take
+    only the columns they need.  Rows of types that Parquet doesn't hold are checkpointed instead."""
+    text = df.schema.simpleString()
+    if any(kind in text for kind in ("void", "interval", "variant")) or len({c.lower() for c in df.columns}) < len(df.columns):
+        return cut_lineage(df)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable lineage cut: materialise to the shared checkpoint folder.
 
