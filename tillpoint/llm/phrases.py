@@ -41,8 +41,8 @@ COVERED = (80, 100)
 #: A word ends at a blank or tab; a piece ends at these (fixed values).
 BLANKS, BREAKS = " \t", ".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
-CHUNK_BYTES = 3 << 20
-PENDING_BYTES = 24 << 20
+CHUNK_BYTES = 2 << 20
+PENDING_BYTES = 12 << 20
 RANGE_PLACES = 1_000_000
 SAMPLE_PLACES = 200_000
 END = "\n"   # closes each word of a key; no word holds it
