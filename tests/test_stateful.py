@@ -94,3 +94,17 @@ def test_panes_equal_sliding_windows_and_count_each_event_once(spark):
     assert "Expand" not in below                       # events aren't copied per window; panes are
     assert P.seconds("1 hour 30 minutes") == 5400 and P.pane_length("90 seconds", "1 minute") == "30 seconds"
     assert P.pane_aggregates(df.filter(F.lit(False))).count() == 0
+
+
+def test_users_of_a_window_share_state_keys_and_many_products_stay_exact(spark):
+    out, ckpt = CS.scratch(spark, "tws_groups")
+    inbox = out + "_in"
+    wide = [(str(T0), u, "cat", u) for u in range(200)]
+    deep = [[(str(T0), 1000 + i % 2, None, (i * i) % p) for i in range(120)] for p in (S.HELD, 40, 97)]      # products held, some beyond, most beyond
+    parts = [wide + deep[0], deep[1], deep[2]]
+    for rows in parts:
+        put(spark, inbox, rows)
+    reports = S.run_stateful(S.stateful_distinct(source(spark, inbox)), out, ckpt)
+    assert latest(spark, out) == batch(spark, sum(parts, []))
+    timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in reports]
+    assert 0 < sum(timers) <= 2 * S.GROUPS                     # two windows; before, one key and one timer per user

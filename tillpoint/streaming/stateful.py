@@ -1,12 +1,16 @@
 """Exact distinct products per sliding window in update mode, with arbitrary state.
 
 ``collect_set`` keeps a window's products as one value that every batch reads
-and writes whole.  Here each (window, user, category) is a key of a
-``transformWithState`` operator: a counter, and a map with one entry per
-product.  A batch touches the counter and the entries of its own products, so
-its cost follows the batch and not the window.  An event-time timer at the
-window's end removes the key's state once the watermark passes it; rows that
-arrive later are dropped by the operator, as a windowed aggregation would.
+and writes whole.  Here each window is ``GROUPS`` keys of a ``transformWithState``
+operator, its users and categories dealt to them by hash.  A key's state is a map
+with one small entry per user and category (views, products, the first ``HELD``
+products themselves) and a map with one entry for each product beyond those.  A
+batch touches the entries of its own users and products, so its cost follows the
+batch and not the window; a key's calls into the state store (which user, when,
+is the window open, its timer) are shared by all its users and categories.  An
+event-time timer at the window's end removes the key's state once the watermark
+passes it; rows that arrive later are dropped by the operator, as a windowed
+aggregation would.
 
 The state lives in the RocksDB store that ``transformWithState`` needs; the
 session's store provider is set while the query starts and put back after.
@@ -20,25 +24,29 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from tillpoint.streaming.clickstream import SLIDE, WATERMARK, WINDOW, with_event_time
 
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_COUNTS = StructType([StructField("page_views", LongType()), StructField("products", LongType())])
-_PRODUCT = StructType([StructField("product_id", LongType())])
+GROUPS = 8     # state keys per window
+HELD = 16      # products kept inside an entry; further ones have entries of their own
+
+_MEMBER = StructType([StructField("user_id", LongType()), StructField("page_category", StringType())])
+_COUNTS = StructType([StructField("page_views", LongType()), StructField("products", LongType()), StructField("held", ArrayType(LongType()))])
+_PRODUCT = StructType([*_MEMBER.fields, StructField("product_id", LongType())])
 _SEEN = StructType([StructField("seen", BooleanType())])
 RESULT = ("window_start timestamp, window_end timestamp, user_id long, page_category string, "
           "page_views long, unique_products_viewed long")
 
 
 class DistinctProducts(StatefulProcessor):
-    """Page views and distinct products of one (window_time, window_start, window_end, user, category).
+    """Page views and distinct products of the users and categories of one (window_start, window_end, group).
 
-    ``on_expiry`` gives one row when the window closes (append mode); otherwise
-    every batch that touches the window gives its state so far (update mode).
+    ``on_expiry`` gives their rows when the window closes (append mode); otherwise every batch gives
+    the state so far of the users and categories that it touches (update mode).
     """
 
     def __init__(self, on_expiry: bool = False):
@@ -46,38 +54,47 @@ class DistinctProducts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getValueState("counts", _COUNTS)
+        self.counts = handle.getMapState("counts", _MEMBER, _COUNTS)
         self.seen = handle.getMapState("seen", _PRODUCT, _SEEN)
 
-    def _row(self, key, views: int, products: int) -> Row:
-        start, end, user, category = key
-        return Row(window_start=start, window_end=end, user_id=user, page_category=category, page_views=views, unique_products_viewed=products)
+    def _row(self, key, member, views: int, products: int) -> Row:
+        return Row(window_start=key[0], window_end=key[1], user_id=member[0], page_category=member[1], page_views=views, unique_products_viewed=products)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        counts = self.counts.get()
-        if counts is None:
-            counts = (0, 0)
-            self.handle.registerTimer(int(key[1].timestamp() * 1000))
-        views, products = counts
-        fresh = set()
+        batch: dict[tuple, tuple[int, set]] = {}
         for row in rows:
-            views += 1
+            member = (row["user_id"], row["page_category"])
+            views, fresh = batch.get(member) or (0, set())
             if row["product_id"] is not None:
                 fresh.add(row["product_id"])
-        for product in fresh:
-            if not self.seen.containsKey((product,)):
-                self.seen.updateValue((product,), (True,))
+            batch[member] = (views + 1, fresh)
+        known = self.counts.exists()
+        if not known:
+            self.handle.registerTimer(int(key[1].timestamp() * 1000))
+        for member, (views, fresh) in batch.items():
+            before = self.counts.getValue(member) if known and self.counts.containsKey(member) else None
+            products, held = 0, []
+            if before is not None:
+                views, products, held = views + before[0], before[1], list(before[2])
+                fresh = fresh.difference(held)
+            for product in fresh:
+                if len(held) < HELD:
+                    held.append(product)
+                elif products > HELD and self.seen.containsKey((*member, product)):
+                    continue
+                else:
+                    self.seen.updateValue((*member, product), (True,))
                 products += 1
-        self.counts.update((views, products))
-        if not self.on_expiry:
-            yield self._row(key, views, products)
+            self.counts.updateValue(member, (views, products, held))
+            if not self.on_expiry:
+                yield self._row(key, member, views, products)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        views, products = self.counts.get()
+        if self.on_expiry:
+            for member, (views, products, _) in self.counts.iterator():
+                yield self._row(key, member, views, products)
         self.counts.clear()
         self.seen.clear()
-        if self.on_expiry:
-            yield self._row(key, views, products)
 
     def close(self) -> None:
         pass
@@ -99,7 +116,7 @@ def rocksdb_state(spark: SparkSession):
 
 def stateful_distinct(stream: DataFrame, watermark: str = WATERMARK, window: str = WINDOW, slide: str = SLIDE,
                       output_mode: str = "update") -> DataFrame:
-    """``clickstream_aggregates`` with exact distinct products in update (or append) mode: one state entry per product.
+    """``clickstream_aggregates`` with exact distinct products in update (or append) mode, from state in maps.
 
     Start the result inside ``rocksdb_state``.  Null products count as views only; null users and
     categories are groups of their own.
@@ -109,8 +126,8 @@ def stateful_distinct(stream: DataFrame, watermark: str = WATERMARK, window: str
     windowed = with_event_time(stream, watermark).select(F.window("event_time", window, slide).alias("window"), "user_id", "page_category", "product_id")
     # the window's time carries the watermark: a row is late when its window has closed, not when its event is old
     open_rows = windowed.select(F.col("window"), F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                                "user_id", "page_category", "product_id")
-    return open_rows.groupBy("window_start", "window_end", "user_id", "page_category").transformWithState(
+                                F.pmod(F.hash("user_id", "page_category"), F.lit(GROUPS)).alias("group"), "user_id", "page_category", "product_id")
+    return open_rows.groupBy("window_start", "window_end", "group").transformWithState(
         DistinctProducts(output_mode == "append"), RESULT, output_mode, "eventTime")
 
 
