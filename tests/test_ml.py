@@ -1,10 +1,13 @@
 """ML operators: fixed seeds, ranges and structural properties (sf0.001)."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from tillpoint.catalog.registry import QUERIES, load_all
 from tillpoint.operators import ml as ML
 from tillpoint.operators import recommend as R
+from tillpoint.session import shared_dir
 from tillpoint.sources import fixtures as fx
 
 from .conftest import SF_SMALL
@@ -52,3 +55,16 @@ def test_demand_forecast_one_prediction_per_line(spark):
     out = QUERIES["demand_forecast"](spark, SF_SMALL)
     assert out.count() == fx.table(spark, SF_SMALL, "lineitem").count()
     assert out.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_cross_validation_leaves_one_fit_on_disk(spark):
+    """Before, every fit of the grid left its checkpoint, and its shuffle files until the driver's next full collection."""
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(u % 3, 15, 2)]
+    ratings = spark.createDataFrame(rows, "customer_id long, product_id long, rating double")
+    sc = spark.sparkContext
+    shared_dir(spark)
+    home = sc._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    before = set(glob.glob(f"{home}/rdd-*"))
+    model, metrics = ML.train_als_cv(ratings, {"ranks": [2, 3], "max_iters": [2], "reg_params": [0.1]}, folds=2)
+    assert len(set(glob.glob(f"{home}/rdd-*")) - before) == 1          # the winner's
+    assert metrics.count() == 2 and model.itemFactors.count() == 15 and model.userFactors.count() == 12
