@@ -121,3 +121,17 @@ def test_chi_square_tails_keep_their_digits(spark):
     for (x, k), r in zip(cases, df.collect()):
         want = float(tail(x, k))
         assert r["p"] > 0 and abs(r["p"] / want - 1) < 1e-9, (x, k, r["p"], want)
+
+
+def test_compaction_streams_each_bin_through_its_own_task(spark, tmp_path):
+    """Before, bins were dealt by hash and each task sorted its rows by bin, in memory that grew with the table."""
+    path = str(tmp_path / "t")
+    spark.range(6000).select("id", (F.col("id") % 5).alias("p")).repartition(8, "id").write.partitionBy("p").parquet(path)
+    bins = K.small_file_bins(spark, path, 1 << 20)
+    rows = K.rows_by_bin(spark, path, bins)
+    assert "Sort [" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = {(r["k"], r["p"]) for r in rows.select(F.spark_partition_id().alias("k"), (F.col("id") % 5).alias("p")).distinct().collect()}
+    assert len(bins) == 5 and got == {(k, int(names[0][0].rpartition("/")[0].rpartition("=")[2])) for k, names in enumerate(bins)}
+    assert K.compact_small_files(spark, path, 1 << 20) == {"packed": sum(map(len, bins)), "made": 5}
+    back = spark.read.parquet(path)
+    assert back.count() == 6000 and back.filter("id % 5 <> p").isEmpty()

@@ -113,6 +113,17 @@ def small_file_bins(spark: SparkSession, path: str, target_bytes: int) -> list[l
     return bins
 
 
+def rows_by_bin(spark: SparkSession, path: str, bins: list[list[tuple[str, str]]]) -> DataFrame:
+    """The rows of the bins' files, those of bin k in partition k: its task writes them as they stream in, without a sort."""
+    of_file = spark.createDataFrame([(uri, k) for k, names in enumerate(bins) for _, uri in names], "_file string, _bin int")
+    rows = spark.read.option("basePath", path).parquet(*[n for names in bins for n, _ in names])
+    schema = spark.read.parquet(bins[0][0][0]).columns
+    # one row per listed file: the mapping is as small as the listing
+    tagged = rows.select(*[F.col(f"`{c}`") for c in schema], F.col("_metadata.file_path").alias("_path")).join(
+        F.broadcast(of_file), F.col("_path") == F.col("_file")).drop("_path", "_file")
+    return tagged.repartitionById(len(bins), "_bin").drop("_bin")
+
+
 def compact_small_files(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> dict[str, int]:
     """Pack the small files of the parquet table at ``path`` into files of about ``target_bytes``, in place.
 
@@ -127,21 +138,13 @@ def compact_small_files(spark: SparkSession, path: str, target_bytes: int = 128
     at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = at(path).getFileSystem(conf)
     staging = f"{path.rstrip('/')}/_compact-{uuid.uuid4().hex[:12]}"
-    of_file = spark.createDataFrame([(uri, k) for k, names in enumerate(bins) for _, uri in names], "_file string, _bin int")
-    rows = spark.read.option("basePath", path).parquet(*[n for names in bins for n, _ in names])
-    schema = spark.read.parquet(bins[0][0][0]).columns
-    # one row per listed file: the mapping is as small as the listing
-    tagged = rows.select(*[F.col(f"`{c}`") for c in schema], F.col("_metadata.file_path").alias("_path")).join(
-        F.broadcast(of_file), F.col("_path") == F.col("_file")).drop("_path", "_file")
-    tagged.repartition(len(bins), "_bin").write.partitionBy("_bin").parquet(staging)
+    rows_by_bin(spark, path, bins).write.parquet(staging)        # a file's name begins with its task's number: the bin
     made = 0
-    for k, names in enumerate(bins):
-        folder = names[0][0].rpartition("/")[0]
-        for f in fs.globStatus(at(f"{staging}/_bin={k}/part-*")):
-            # a task that wrote several bins gave them one name
-            if not fs.rename(f.getPath(), at(f"{folder}/part-{uuid.uuid4().hex}.parquet")):
-                raise OSError(f"{f.getPath()} could not be moved into {folder}")
-            made += 1
+    for f in fs.globStatus(at(f"{staging}/part-*")):
+        folder = bins[int(f.getPath().getName().split("-")[1])][0][0].rpartition("/")[0]
+        if not fs.rename(f.getPath(), at(f"{folder}/part-{uuid.uuid4().hex}.parquet")):
+            raise OSError(f"{f.getPath()} could not be moved into {folder}")
+        made += 1
     for names in bins:
         for name, _ in names:
             fs.delete(at(name), False)
