@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tillpoint.catalog import q_streaming as QS
 from tillpoint.streaming import clickstream as CS
 from tillpoint.streaming import panes as P
 from tillpoint.streaming import stateful as S
@@ -108,3 +109,21 @@ def test_users_of_a_window_share_state_keys_and_many_products_stay_exact(spark):
     assert latest(spark, out) == batch(spark, sum(parts, []))
     timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in reports]
     assert 0 < sum(timers) <= 2 * S.GROUPS                     # two windows; before, one key and one timer per user
+
+
+def test_chained_batches_stay_of_one_size(spark, tmp_path):
+    """Before, the whole table was one batch of two files, whose tasks' memory grew with it."""
+    events = spark.range(3000).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.when(F.col("id") % 3 > 0, "view").alias("event_type"),
+                                      F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.lit(1704110400) + F.col("id") * 1237 % 3000)).alias("ts"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events = spark.read.parquet(str(tmp_path / "events.parquet"))
+    assert QS.bounded_inbox(spark, events, inbox, 400) == 8
+    sizes = [r["count"] for r in spark.read.parquet(inbox).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 800
+    stream = QS._events_stream(spark, inbox, "*.parquet", max_files=2)
+    CS.run_to_parquet(CS.clickstream_aggregates(stream, distinct="chained", output_mode="append"), out, str(tmp_path / "ck"))
+    got = CS.flatten_window(spark.read.parquet(out))
+    want = CS.flatten_window(CS.clickstream_aggregates(CS.events_as_clickstream(events), distinct="set")).filter(
+        F.col("window_end") <= events.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=5))
+    assert want.count() > 500 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

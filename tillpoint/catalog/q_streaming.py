@@ -3,6 +3,8 @@ file stream (``availableNow``), results read back from the sink."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -44,12 +46,30 @@ def q_clickstream_append(spark, sf):
     return _append_run(spark, sf, "chained")
 
 
+# Fixed value: rows of one file of an inbox; a micro-batch of two files stays of one size whatever the table's.
+EVENTS_PER_FILE = 500_000
+
+
+def bounded_inbox(spark, events, inbox: str, rows_per_file: int = EVENTS_PER_FILE) -> int:
+    """The events as files of about ``rows_per_file`` rows, arriving one after the other in time; two files at least.
+    Returns their number.
+
+    Dealt by ranges of time once; each range is then its own small append, since a file stream takes files by their age.
+    """
+    files = max(2, math.ceil(events.count() / rows_per_file))
+    ranges = f"{inbox}_ranges"
+    events.repartitionByRange(files, "ts").write.parquet(ranges)
+    for file in sorted(spark.read.schema(events.schema).parquet(ranges).inputFiles()):      # named by range
+        spark.read.schema(events.schema).parquet(file).coalesce(1).write.mode("append").parquet(inbox)
+    return files
+
+
 @register("clickstream_distinct_chained", _APPEND)
 def q_clickstream_chained(spark, sf):
-    """The chained aggregate over two files' worth of micro-batches."""
+    """The chained aggregate over micro-batches of two files' worth."""
     out, ckpt = CS.scratch(spark, "clickstream_chained")
     inbox = f"{out}_inbox"
-    fx.table(spark, sf, "events").repartition(2, "event_id").write.mode("overwrite").parquet(inbox)
+    bounded_inbox(spark, fx.table(spark, sf, "events"), inbox)
     stream = _events_stream(spark, inbox, "*.parquet", max_files=2)
     CS.run_to_parquet(CS.clickstream_aggregates(stream, distinct="chained", output_mode="append"), out, ckpt)
     return CS.flatten_window(spark.read.parquet(out))
