@@ -115,3 +115,15 @@ def test_the_join_step_is_gated_by_the_plan(spark):
     assert step("l.a + 0 = r.a").count() == 50 and step("l.a <=> r.a and l.x <= r.y").count() == 50
     assert step("l.x < r.y", allow_cross=True).count() == 1225
     assert step("l.x < r.y", band={"left": "x", "right": ["y - 3", "y"]}).count() == 49 + 48 + 47
+
+
+def test_meeting_rows_compare_whole_numbers_in_narrow_bands(spark):
+    """Before, every meeting computed a power, and a range met points from bands up to twice its length."""
+    left = spark.range(500).select("id", (F.col("id") / 10).alias("x"))
+    right = spark.range(500).select(F.col("id").alias("rid"), (F.col("id") / 7).alias("y"))
+    got = band_join(left, right, ["x - 0.3", "x + 0.3"], "y")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("POWER" in line for line in joins)
+    want = left.join(right, (F.col("y") >= F.expr("x - 0.3")) & (F.col("y") <= F.expr("x + 0.3")))
+    assert want.count() > 500 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
