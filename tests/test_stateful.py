@@ -127,3 +127,77 @@ def test_chained_batches_stay_of_one_size(spark, tmp_path):
     want = CS.flatten_window(CS.clickstream_aggregates(CS.events_as_clickstream(events), distinct="set")).filter(
         F.col("window_end") <= events.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=5))
     assert want.count() > 500 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+class _Store:
+    """The states of one key, kept here; counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.states = 0, [], {}
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getValueState(self, name, schema):
+        return self.getMapState(name, schema)
+
+    def getMapState(self, name, *schemas):
+        store, held = self, self.states.setdefault(name, {})
+
+        class State:
+            def __getattribute__(self, what):
+                store.calls += 1
+                return {"get": lambda: held.get(0), "update": lambda v: held.update({0: v}), "clear": held.clear, "exists": lambda: bool(held),
+                        "containsKey": held.__contains__, "getValue": held.get, "updateValue": held.__setitem__, "iterator": lambda: list(held.items())}[what]
+
+        return State()
+
+
+def _fed(processor, key, events):
+    users, categories, products = map(list, zip(*events))
+    rows = processor.handleInputRows(key, [{"user_id": users, "page_category": categories, "product_id": products}], None)
+    return {(u, c): (v, p) for r in rows for u, c, v, p in zip(r.user_id, r.page_category, r.page_views, r.unique_products_viewed)}
+
+
+def test_members_of_a_key_share_calls_into_the_store_and_further_ones_stay_exact(monkeypatch):
+    """Before, every member of a key was a call of its own into the store (at least one per batch)."""
+    key = (T0, T0 + dt.timedelta(minutes=1), 0)
+    one, store = S.DistinctProducts(), _Store()
+    one.init(store)
+    assert len(_fed(one, key, [(u, "cat", u) for u in range(300)])) == 300 and store.calls < 10
+    for room in (2, 512):
+        monkeypatch.setattr(S, "TOGETHER", room)
+        events = [(u % 5 if u % 7 else None, "cat" if u % 3 else None, None if u % 11 == 0 else (u * u) % 61) for u in range(600)]
+        expected = {}
+        for user, category, product in events:
+            views, products = expected.setdefault((user, category), [0, set()])
+            expected[user, category] = [views + 1, products | ({product} - {None})]
+        expected = {m: (views, len(products)) for m, (views, products) in expected.items()}
+        assert any(products > S.HELD for _, products in expected.values())
+        for expiry in (False, True):
+            one, store, last = S.DistinctProducts(expiry), _Store(), {}
+            one.init(store)
+            for at in range(0, 600, 45):
+                last |= _fed(one, key, events[at:at + 45])
+            assert store.timers == [int(key[1].timestamp() * 1000)] and last == ({} if expiry else expected)
+            rows = list(one.handleExpiredTimer(key, None, None))
+            closed = {(u, c): (v, p) for r in rows for u, c, v, p in zip(r.user_id, r.page_category, r.page_views, r.unique_products_viewed)}
+            assert closed == (expected if expiry else {}) and not any(store.states.values())
+
+
+def test_events_of_a_pane_and_group_are_packed(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(S, "PACKED", 40)
+    micros = [(i * 7919) % 90_000_000 - 45_000_000 for i in range(500)]      # also before 1970
+    events = {"micros": micros, "group": [i % 3 for i in range(500)], "user_id": [i if i % 9 else None for i in range(500)],
+              "page_category": ["a" if i % 2 else None for i in range(500)], "product_id": list(range(500))}
+    batches = pa.table(events, schema=pa.schema([("micros", pa.int64()), ("group", pa.int32()), ("user_id", pa.int64()),
+                                                 ("page_category", pa.string()), ("product_id", pa.int64())])).to_batches(max_chunksize=64)
+    rows = pa.Table.from_batches(list(S._packer(S._pane_micros("1 minute", "30 seconds"))(iter(batches)))).to_pylist()
+    assert len(rows) < 50 and max(len(r["product_id"]) for r in rows) <= 40
+    seen = [(p, u, c, r["group"], r["micros"] // 30_000_000) for r in rows for p, u, c in zip(r["product_id"], r["user_id"], r["page_category"])]
+    assert sorted(x[0] for x in seen) == list(range(500))
+    assert all((u, c, g, pane) == (events["user_id"][p], events["page_category"][p], p % 3, micros[p] // 30_000_000) for p, u, c, g, pane in seen)
+    assert all(r["micros"] == max(micros[p] for p in r["product_id"]) for r in rows)
+    assert S._pane_micros("1 minute", "7 parsecs") == 1

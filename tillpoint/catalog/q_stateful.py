@@ -13,6 +13,7 @@ from tillpoint.streaming import panes as P
 from tillpoint.streaming import payload_sink as L
 from tillpoint.streaming import stateful as S
 
+ROW_GROUP = 8 << 20      # a batch is one file; its tasks share it by row groups
 WINDOW_KEYS = ["window_start", "window_end", "user_id", "page_category"]
 
 
@@ -25,7 +26,7 @@ def inbox_in_time_order(spark, sf, name: str):
     for k in range(3):
         start, end = lo + (hi - lo) * k / 3, lo + (hi - lo) * (k + 1) / 3
         part = events.filter((F.col("ts") >= start) if k == 2 else (F.col("ts") >= start) & (F.col("ts") < end))
-        part.coalesce(1).write.mode("append").parquet(inbox)
+        part.coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(inbox)
     stream = CS.events_as_clickstream(CS.file_stream(spark, inbox, "*.parquet", events.schema, 1))
     return stream, out, ckpt
 
